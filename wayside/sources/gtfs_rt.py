@@ -236,31 +236,32 @@ def write_feeds(feeds: DataFrame, root: str) -> DataFrame:
     return feeds.mapInPandas(write, "path string, entities int")
 
 
-def _stems(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+# A poll's time stands in its file's (or folder's) name.
+_STAMP_IN_PATH = r"trains_(\d{8}T\d{6})"
+_STAMP = "yyyyMMdd'T'HHmmss"
+
+
+def _poll_time(path: Column) -> Column:
+    return F.to_timestamp_ntz(F.regexp_extract(path, _STAMP_IN_PATH, 1), F.lit(_STAMP))
+
+
+def _polls(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
     paths = files.option("recursiveFileLookup", True).load(root).select("path")
-    return paths.select(
-        F.regexp_extract("path", rf"([^/]+?)(?:_p\d{{4}})?\.{suffix}$", 1).alias("stem")
-    ).distinct()
+    return paths.select(_poll_time(F.col("path")).alias("feed_ts")).distinct()
 
 
 def pending_polls(spark: SparkSession, poll_root: str, feed_root: str) -> DataFrame:
-    """Polls landed as `trains_<stamp>.parquet` that have no feed file yet.
+    """Landed polls (Parquet named `trains_<stamp>`) that have no feed file yet.
 
     Only file names are listed, so a poll without a single train counts too.
     """
-    landed = _stems(spark, poll_root, "parquet")
-    written = _stems(spark, feed_root, "pb")
-    stamp = F.to_timestamp_ntz(F.substring("stem", len("trains_") + 1, 15), F.lit("yyyyMMdd'T'HHmmss"))
-    return landed.join(written, "stem", "left_anti").select(stamp.alias("feed_ts"))
+    return _polls(spark, poll_root, "parquet").join(_polls(spark, feed_root, "pb"), "feed_ts", "left_anti")
 
 
 def backfill(spark: SparkSession, poll_root: str, feed_root: str) -> DataFrame:
     """Feed files for every landed poll that lacks one; a second run finds none."""
     polls = pending_polls(spark, poll_root, feed_root)
     files = spark.read.schema(BRONZE["train_positions"]).option("recursiveFileLookup", True).parquet(poll_root)
-    stamp = F.to_timestamp_ntz(
-        F.regexp_extract("_metadata.file_name", r"(\d{8}T\d{6})", 1), F.lit("yyyyMMdd'T'HHmmss")
-    )
-    rows = files.withColumn("feed_ts", stamp).join(polls, "feed_ts", "left_semi")
-    return encode(rows, polls)
+    rows = files.withColumn("feed_ts", _poll_time(F.col("_metadata.file_path")))
+    return encode(rows.join(polls, "feed_ts", "left_semi"), polls)
