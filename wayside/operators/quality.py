@@ -230,8 +230,8 @@ def zero_violations(check: str, df: DataFrame, predicate: str) -> DataFrame:
 
 def no_duplicate_keys(check: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; here NULLs are a key like any other."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return repeated.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    return repeated.agg(F.count_if(F.col("_copies") > 1).alias("violations")).select(
         F.lit(check).alias("check_name"), "violations", (F.col("violations") == 0).alias("passed")
     )
 
