@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,22 +115,39 @@ def _make(spark: SparkSession, model: Model, table: Callable[[str], DataFrame])
     return model.make(*map(table, model.needs)) if model.needs else model.make(spark)
 
 
+def _waves(given: Mapping[str, DataFrame]) -> list[list[str]]:
+    """Models in groups that depend only on earlier groups."""
+    depth: dict[str, int] = {}
+    for name, model in MODELS.items():
+        if name not in given:
+            depth[name] = 1 + max((depth.get(need, 0) for need in model.needs), default=0)
+    return [[n for n in depth if depth[n] == d] for d in sorted(set(depth.values()))]
+
+
 def build(
-    spark: SparkSession, given: Mapping[str, DataFrame], store: TableStore
+    spark: SparkSession, given: Mapping[str, DataFrame], store: TableStore, jobs: int = 4
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write every stored model that is not given; readers get the written one.
 
-    Gives all tables by name and the row counts of the written ones.
+    Models that do not depend on each other are written `jobs` at a time, so the
+    small ones fill the cores a large one leaves idle. Gives all tables by name
+    and the row counts of the written ones.
     """
-    tables: dict[str, DataFrame] = {}
+    tables: dict[str, DataFrame] = {name: given[name] for name in MODELS if name in given}
     rows: dict[str, int] = {}
-    for name, model in MODELS.items():
-        if name in given:
-            tables[name] = given[name]
-            continue
+
+    def write(name: str) -> tuple[DataFrame, int | None]:
+        model = MODELS[name]
         frame = _make(spark, model, lambda need: tables[need] if need in tables else given[need])
-        if model.stored:
-            rows[name] = store.rebuild(name, frame, model.by)
-            frame = store.read(name, frame.schema)
-        tables[name] = frame
+        if not model.stored:
+            return frame, None
+        count = store.rebuild(name, frame, model.by)
+        return store.read(name, frame.schema), count
+
+    with ThreadPoolExecutor(jobs) as pool:
+        for wave in _waves(given):
+            for name, (frame, count) in zip(wave, pool.map(write, wave)):
+                tables[name] = frame
+                if count is not None:
+                    rows[name] = count
     return tables, rows

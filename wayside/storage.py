@@ -40,16 +40,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counted(df: DataFrame, *layout: str) -> tuple[DataFrame, Observation]:
-    """The frame laid out for writing, with its row count observed on the way.
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame with its row count observed while it is written.
 
-    Rebalancing gives evenly sized files: small results end as one, and a day
-    with a third of the rows is split over several. It also puts the observation
-    into the writing stage, where Spark counts every task exactly once even if
-    earlier stages rerun.
+    The observation sits on top of the plan, so in the writing stage: Spark counts
+    each of its tasks once, also when earlier stages run again.
     """
     seen = Observation()
-    return df.hint("rebalance", *layout).observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 class TableStore:
@@ -79,7 +77,10 @@ class TableStore:
         return self._write(name, df, "overwrite", partition_by, "dynamic")
 
     def _write(self, name, df, mode, partition_by, overwrite) -> int:
-        frame, seen = counted(df, *partition_by)
+        # Only a partitioned layout is shuffled for the writer: rebalancing gives each
+        # day few files and splits a day that holds a third of the rows. Other tables
+        # keep the partitions adaptive execution sized, and their sort order.
+        frame, seen = counted(df.hint("rebalance", *partition_by) if partition_by else df)
         writer = frame.write.mode(mode).option("partitionOverwriteMode", overwrite)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
