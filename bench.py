@@ -4,9 +4,10 @@ Each query runs over the whole tables at $BENCH_SF_DIR on local[$BENCH_CPUS], on
 to warm the JVM and then timed; every timing covers planning and execution, with
 all rows and columns computed and none collected.
 
-`conform_*` starts from the landed rows and writes conformed tables; `mart_*`
-starts from those written tables, as the marts do in a built lake; `lake_build` is
-the full graph from landed rows to marts.
+The landed tables are written first, untimed, in part files of one feed page
+(50,000 rows) as the loads leave them. `conform_*` reads those files; `mart_*` reads
+the conformed tables of a built lake; `lake_build` writes the full graph from landed
+files to marts; `all_table_checks` runs the 91 declared rules on its tables.
 """
 
 from __future__ import annotations
@@ -40,6 +41,19 @@ MARTS = [
 ]
 
 
+def land(spark, bound):
+    """Write the landed tables once and open the files."""
+    from wayside.sources.open_data import PAGE_ROWS
+    from wayside.storage import fresh_folder
+
+    folder = fresh_folder(spark, "landed")
+    opened = {}
+    for name, rows in bound.items():
+        rows.write.option("maxRecordsPerFile", PAGE_ROWS).parquet(f"{folder}/{name}")
+        opened[name] = spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+    return opened
+
+
 def main() -> None:
     from registry.inputs import Landed
     from wayside.operators import quality
@@ -49,7 +63,7 @@ def main() -> None:
     from wayside.storage import TableStore, fresh_folder
 
     spark = local_session(CPUS, "bench", **{"spark.sql.shuffle.partitions": CPUS})
-    landed = Landed(spark, SF_DIR)
+    landed = land(spark, Landed(spark, SF_DIR))
     timings: dict[str, float] = {}
 
     def timed(name, run) -> None:
@@ -77,7 +91,7 @@ def main() -> None:
     silver = {name: frame for name, frame in built["tables"].items() if name.startswith("silver_")}
     for name in MARTS:
         timed(name, lambda: consume(lakehouse.derive(spark, silver, name)))
-    timed("all_table_checks", lambda: quality.check_tables(TABLE_RULES, built["tables"]).collect())
+    timed("all_table_checks", lambda: quality.run_checks(spark, TABLE_RULES, built["tables"]).collect())
 
     total = round(sum(timings.values()), 3)
     spark.stop()

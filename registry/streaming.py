@@ -70,7 +70,7 @@ FROM ({_FIRST}) p LEFT JOIN x_stg_routes r ON r.route_id = p.route_id GROUP BY A
 def hourly_exact(spark, sf_dir):
     store = _store(spark)
     routes = model(spark, sf_dir, "stg_routes")
-    _run(spark, _reports(spark, sf_dir), positions.hourly_delay_exact(store, routes))
+    _run(spark, _reports(spark, sf_dir), positions.hourly_delay_exact(store, routes, positions.BY_DAY))
     return store.read("hourly").drop("delayed_rate")
 
 

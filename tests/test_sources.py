@@ -94,21 +94,29 @@ def test_congestion_slice_caps_and_pages(spark, tmp_path, monkeypatch):
     old = rows.limit(3).withColumn("time", F.lit("2017-12-31T23:00:00.000"))
     taken = open_data.congestion_slice(rows.unionByName(old), max_rows=100)
     assert taken.agg(F.min("time"), F.max("time")).first() == ("2018-01-01T00:00:00.000", "2018-01-03T00:00:00.000")
+    assert taken.groupBy("time").count().orderBy("time").collect()[:2] == rows.groupBy("time").count().orderBy("time").limit(2).collect()
+    assert open_data.congestion_slice(rows, max_rows=1000).count() == 1000
+    assert open_data.congestion_slice(rows, max_rows=72).count() == 72
+    assert open_data.congestion_slice(rows, max_rows=None).count() == 1000
     monkeypatch.setattr(open_data, "PAGE_ROWS", 30)
     path = tmp_path / "pages"
     assert open_data.land_pages(taken, str(path)) == 100
-    assert len(list(path.glob("part-*.parquet"))) == 4
+    assert spark.read.parquet(str(path)).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 30
 
 
 def test_zip_set(spark, tmp_path, rows):
     with zipfile.ZipFile(tmp_path / "set.zip", "w") as archive:
         archive.writestr("stops.txt", '﻿stop_id,stop_name,stop_lat\r\n007,"Clark, ""N""\nside",41.9\r\n8,,\r\n')
         archive.writestr("readme.md", "not a table")
-    records = gtfs_static.scan_zip(spark, str(tmp_path))
-    stops = gtfs_static.zip_table(records, "stops", at())
-    assert rows(stops.drop("_ingested_at")) == [("007", 'Clark, "N"\nside', "41.9"), ("8", None, None)]
-    with pytest.raises(LookupError):
-        gtfs_static.zip_table(records, "trips", at())
+        archive.writestr("trips.txt", "trip_id\nt1\n")
+    tables = gtfs_static.scan_zip(spark, str(tmp_path), at())
+    assert sorted(tables) == ["stops", "trips"]
+    assert rows(tables["stops"].drop("_ingested_at")) == [("007", 'Clark, "N"\nside', "41.9"), ("8", None, None)]
+    assert rows(tables["trips"]) == [("t1", AT)]
+    with zipfile.ZipFile(tmp_path / "other.zip", "w") as archive:
+        archive.writestr("trips.txt", "id\nt2\n")
+    with pytest.raises(ValueError, match="trips"):
+        gtfs_static.scan_zip(spark, str(tmp_path), at())
 
 
 def test_text_members_and_snapshots(spark, tmp_path, rows):

@@ -15,8 +15,8 @@ T0 = dt.datetime(2024, 1, 1, 8)
 
 
 def _report(vehicle, minute, route="66", lat=41.9, late=False, seen=0):
-    at = T0 + dt.timedelta(minutes=minute)
-    return ("CTA", "bus", vehicle, route, None, lat, -87.6, 0, late, at, at + dt.timedelta(seconds=seen))
+    at = None if minute is None else T0 + dt.timedelta(minutes=minute)
+    return ("CTA", "bus", vehicle, route, None, lat, -87.6, 0, late, at, (at or T0) + dt.timedelta(seconds=seen))
 
 
 def _land(spark, root, *reports):
@@ -55,13 +55,14 @@ def test_dedupe_across_batches(spark, folders, rows):
         ("1", T0), ("1", T0 + dt.timedelta(minutes=2)), ("2", T0)]
 
 
-def test_hourly_delay_includes_late_reports(spark, folders, rows):
+@pytest.mark.parametrize("by", [positions.BY_HOUR, positions.BY_DAY])
+def test_hourly_delay_includes_late_reports(spark, folders, rows, by):
     root, store, _ = folders
     routes = spark.createDataFrame([("66", "Chicago")], "route_id string, route_long_name string")
-    handle = positions.hourly_delay_exact(store, routes)
+    handle = positions.hourly_delay_exact(store, routes, by)
     batches = [
         [_report("1", 0, late=True), _report("2", 5), _report("1", 70)],
-        [_report("3", 150, route="99")],
+        [_report("3", 150, route="99"), _report("5", None)],
         [_report("4", 10), _report("1", 0, seen=-30), _report("2", 5)],
     ]
     for batch in batches:

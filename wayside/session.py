@@ -15,7 +15,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -28,7 +27,6 @@ LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "8g",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 

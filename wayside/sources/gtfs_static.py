@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wayside.storage import TableStore
+from wayside.storage import TableStore, settle
 
 _CELL_ROWS = 10_000
 
@@ -49,16 +49,29 @@ def land_static(
     return spark.createDataFrame(metrics, "table_name string, row_count bigint, path string")
 
 
-def scan_zip(spark: SparkSession, path: str) -> DataFrame:
-    """Records of every text member of the zips: archive, member, position, cells.
+def scan_zip(spark: SparkSession, path: str, ingested_at: Column) -> dict[str, DataFrame]:
+    """The tables of a zipped set, by member name.
 
-    A zip cannot be split, so each archive is one task; records stream out in
-    small batches and are spread over the cluster by the caller's next shuffle.
+    A zip cannot be split, so each archive is unpacked by one task, streaming its
+    records out in small batches. They are written once, by member, and every table
+    reads its own part; the driver sees only the header lines.
     """
     zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return zips.select("path", "content").mapInPandas(
+    records = zips.select("path", "content").mapInPandas(
         _unzip, "archive string, member string, position bigint, cells array<string>"
     )
+    records = settle(records, "zip-records", "member")
+    headers: dict[str, list[str]] = {}
+    for row in records.where("position = 0").select("member", "cells").distinct().collect():
+        if headers.setdefault(row["member"], row["cells"]) != row["cells"]:
+            raise ValueError(f"archives disagree on the columns of {row['member']}.txt")
+    return {member: _zip_table(records, member, columns, ingested_at) for member, columns in headers.items()}
+
+
+def _zip_table(records: DataFrame, member: str, columns: list[str], ingested_at: Column) -> DataFrame:
+    cells = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(columns)]
+    rows = records.where((F.col("member") == member) & (F.col("position") > 0))
+    return rows.select(*cells, ingested_at.alias("_ingested_at"))
 
 
 def _unzip(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,13 +93,3 @@ def _records(path: str, member: str, raw) -> Iterator[pd.DataFrame]:
             held = []
     if held:
         yield pd.DataFrame(held, columns=["archive", "member", "position", "cells"])
-
-
-def zip_table(records: DataFrame, member: str, ingested_at: Column) -> DataFrame:
-    """One member of `scan_zip` as a table; only its header line is looked at here."""
-    lines = records.where(F.col("member") == member)
-    header = lines.where("position = 0").select("cells").first()
-    if header is None:
-        raise LookupError(f"no member {member}.txt")
-    columns = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(header["cells"])]
-    return lines.where("position > 0").select(*columns, ingested_at.alias("_ingested_at"))

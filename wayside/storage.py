@@ -28,7 +28,7 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write an intermediate result once and read it back.
 
     Cuts the lineage, survives lost executors, and pins values (float sums, task
@@ -36,7 +36,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     still prunes columns, which a row checkpoint does not.
     """
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

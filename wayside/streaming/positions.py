@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayside.functions.picking import keep_first
@@ -75,26 +75,43 @@ def hourly_delay_estimate(reports: DataFrame, delay: str = "10 minutes") -> Data
     )
 
 
-def hourly_delay_exact(store: TableStore, routes: DataFrame) -> Batch:
+BY_HOUR = ("report_date", "report_hour")
+BY_DAY = ("report_date",)
+
+
+def _folder(touched: Row) -> str:
+    """Folder of one hour or day; reports without a time lie in Spark's folder for NULLs."""
+    parts = touched.asDict().items()
+    return "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in parts)
+
+
+def hourly_delay_exact(store: TableStore, routes: DataFrame, by: Sequence[str] = BY_HOUR) -> Batch:
     """Keep exact hourly delays: recompute just the hours a batch touches.
 
-    Late reports simply touch an old hour. Reports lie by day and hour, so the
-    semi join with the touched hours prunes all others from the scan, and only
-    their partitions are replaced.
+    Late reports simply touch an old hour. Reports lie by hour and batch, so a
+    batch opens only the folders of its own hours, however long the feed has been
+    running, and replaces only those hours' results. The driver sees the batch's
+    distinct hours, mostly one or two.
+
+    To catch up on history, where a batch touches hundreds of hours, lay the
+    tables out `by` day: fewer, larger folders.
     """
-    hour_key = ["report_date", "report_hour"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hours = batch.withColumn("report_date", F.to_date("report_ts")).withColumn(
-            "report_hour", F.hour("report_ts")
+        dated = batch.select(
+            "*",
+            F.to_date("report_ts").alias("report_date"),
+            F.hour("report_ts").alias("report_hour"),
+            F.lit(batch_id).alias("batch"),
         )
-        if not store.rebuild(f"reports/batch={batch_id}", hours, hour_key):
+        if not store.reload_days("reports", dated, [*by, "batch"]):
             return
-        touched = store.read(f"reports/batch={batch_id}").select(*hour_key).distinct()
-        reports = spark.read.parquet(store.path("reports")).join(touched, hour_key, "left_semi")
-        staged = vehicle_positions(earliest_reports(reports.select(*batch.columns)))
-        store.reload_days("hourly", delay_by_route_hour(vehicle_hours(staged), routes), hour_key)
+        root = store.path("reports")
+        folders = [f"{root}/{_folder(touched)}" for touched in dated.select(*by).distinct().collect()]
+        reader = batch.sparkSession.read.schema(dated.schema).option("basePath", root)
+        reports = reader.parquet(*folders).select(*batch.columns)
+        staged = vehicle_positions(earliest_reports(reports))
+        store.reload_days("hourly", delay_by_route_hour(vehicle_hours(staged), routes), by)
 
     return handle
 
