@@ -207,8 +207,7 @@ def all_bus_days(spark, sf_dir):
 SELECT *, _ingested_at::DATE AS dt FROM x_bus WHERE _ingested_at::DATE = (SELECT max(_ingested_at)::DATE FROM x_bus)
 """))
 def newest_bus_file(spark, sf_dir):
-    files = landing.typed_scan(spark, raw_files.bus_days(spark, sf_dir), BRONZE["bus_positions"])
-    return landing.newest_file(files)
+    return landing.newest_file(spark, raw_files.bus_days(spark, sf_dir), BRONZE["bus_positions"])
 
 
 @query("slv_05_train_positions_from_feeds", compose(f"""

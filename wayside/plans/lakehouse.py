@@ -125,13 +125,18 @@ def _waves(given: Mapping[str, DataFrame]) -> list[list[str]]:
 
 
 def build(
-    spark: SparkSession, given: Mapping[str, DataFrame], store: TableStore, jobs: int = 4
+    spark: SparkSession,
+    given: Mapping[str, DataFrame],
+    store: TableStore,
+    jobs: int = 4,
+    gate: Callable[[str, DataFrame], None] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write every stored model that is not given; readers get the written one.
 
     Models that do not depend on each other are written `jobs` at a time, so the
-    small ones fill the cores a large one leaves idle. Gives all tables by name
-    and the row counts of the written ones.
+    small ones fill the cores a large one leaves idle. A `gate` sees every written
+    table and stops the build before its readers by raising. Gives all tables by
+    name and the row counts of the written ones.
     """
     tables: dict[str, DataFrame] = {name: given[name] for name in MODELS if name in given}
     rows: dict[str, int] = {}
@@ -142,7 +147,10 @@ def build(
         if not model.stored:
             return frame, None
         count = store.rebuild(name, frame, model.by)
-        return store.read(name, frame.schema), count
+        written = store.read(name, frame.schema)
+        if gate:
+            gate(name, written)
+        return written, count
 
     with ThreadPoolExecutor(jobs) as pool:
         for wave in _waves(given):

@@ -13,23 +13,31 @@ def typed_scan(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     return spark.read.schema(struct(ddl)).parquet(root)
 
 
+def _listed(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of the Parquet files below a root; names only, no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    try:
+        return files.option("recursiveFileLookup", True).load(root).select("path")
+    except AnalysisException as missing:
+        raise LookupError(f"nothing landed under {root}") from missing
+
+
 def newest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the newest `dt=` snapshot only; an error if there is none.
 
-    The subquery's answer prunes partitions when the scan starts, so older
-    snapshots are listed but not read.
+    The day comes from the listing, so the filter on it is a constant and older
+    snapshots are neither planned nor read.
     """
-    try:
-        table = spark.read.parquet(root)
-    except AnalysisException as missing:
-        raise LookupError(f"no snapshot under {root}") from missing
-    if "dt" not in table.columns:
+    days = _listed(spark, root).select(F.regexp_extract("path", r"/dt=([^/]+)/", 1).alias("dt"))
+    newest = days.agg(F.max("dt")).first()[0]
+    if not newest:
         raise LookupError(f"no snapshot under {root}")
-    return table.where(F.col("dt") == table.agg(F.max("dt")).scalar()).drop("dt")
+    return spark.read.parquet(root).where(F.col("dt") == F.lit(newest).cast("date")).drop("dt")
 
 
-def newest_file(files: DataFrame) -> DataFrame:
-    """Rows of the lexically newest file of a file-backed frame."""
-    located = files.withColumn("_path", F.col("_metadata.file_path"))
-    newest = files.select(F.col("_metadata.file_path").alias("p")).agg(F.max("p"))
-    return located.where(F.col("_path") == newest.scalar()).drop("_path")
+def newest_file(spark: SparkSession, root: str, ddl: str) -> DataFrame:
+    """Rows of the lexically newest file below a root."""
+    newest = _listed(spark, root).agg(F.max("path")).first()[0]
+    if newest is None:
+        raise LookupError(f"nothing landed under {root}")
+    return spark.read.schema(struct(ddl)).option("basePath", root).parquet(newest)
