@@ -119,3 +119,8 @@ def test_global_rank_matches_window_rank(spark):
         "SELECT count(*) FROM (SELECT r, rank() OVER (ORDER BY v ASC NULLS LAST) AS w FROM ranked_rows) WHERE r <> w"
     ).first()[0]
     assert wrong == 0 and ranked.count() == 6000
+
+
+def test_keep_first_with_keys_only(spark, rows):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert rows(picking.keep_first(df, ["k"])) == [(1,), (None,)]

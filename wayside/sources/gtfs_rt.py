@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayside.functions.boxes import in_box
 from wayside.schemas import BRONZE
+from wayside.shipping import ship_package
 
 # Field numbers and enum numbers of the specification.
 _LAYOUT = {
@@ -88,6 +89,7 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
 
 def decode(feeds: DataFrame) -> DataFrame:
     """One row per vehicle entity of every feed file."""
+    ship_package(feeds.sparkSession)
     return feeds.select("content").mapInPandas(_decode_batches, BRONZE["decoded_trains"])
 
 
@@ -156,6 +158,7 @@ def encode(trains: DataFrame, polls: DataFrame, per_file: int = FEED_ENTITIES) -
     A poll over `per_file` trains is split by hash into several files, so no task
     holds more than about that many, whatever one poll's share of the rows.
     """
+    ship_package(trains.sparkSession)
     usable = trains.where(in_box("lat", "lon"))
     sizes = usable.groupBy("feed_ts").agg(F.count(F.lit(1)).alias("_n"))
     sizes = polls.join(sizes, "feed_ts", "left").select(
@@ -216,6 +219,7 @@ def _text(value) -> str:
 
 def write_feeds(feeds: DataFrame, root: str) -> DataFrame:
     """Write each feed file to `<root>/dt=<day>/<path>`; lazy, one row per file."""
+    ship_package(feeds.sparkSession)
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wayside.shipping import ship_package
 from wayside.storage import TableStore, settle
 
 _CELL_ROWS = 10_000
@@ -56,6 +57,7 @@ def scan_zip(spark: SparkSession, path: str, ingested_at: Column) -> dict[str, D
     records out in small batches. They are written once, by member, and every table
     reads its own part; the driver sees only the header lines.
     """
+    ship_package(spark)
     zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     records = zips.select("path", "content").mapInPandas(
         _unzip, "archive string, member string, position bigint, cells array<string>"
