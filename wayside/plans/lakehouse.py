@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,35 +115,29 @@ def _make(spark: SparkSession, model: Model, table: Callable[[str], DataFrame])
     return model.make(*map(table, model.needs)) if model.needs else model.make(spark)
 
 
-def _waves(given: Mapping[str, DataFrame]) -> list[list[str]]:
-    """Models in groups that depend only on earlier groups."""
-    depth: dict[str, int] = {}
-    for name, model in MODELS.items():
-        if name not in given:
-            depth[name] = 1 + max((depth.get(need, 0) for need in model.needs), default=0)
-    return [[n for n in depth if depth[n] == d] for d in sorted(set(depth.values()))]
-
-
 def build(
     spark: SparkSession,
     given: Mapping[str, DataFrame],
     store: TableStore,
-    jobs: int = 4,
+    jobs: int = 8,
     gate: Callable[[str, DataFrame], None] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write every stored model that is not given; readers get the written one.
 
-    Models that do not depend on each other are written `jobs` at a time, so the
-    small ones fill the cores a large one leaves idle. A `gate` sees every written
-    table and stops the build before its readers by raising. Gives all tables by
-    name and the row counts of the written ones.
+    Up to `jobs` models are written at a time, so small ones fill the cores a large
+    one leaves idle. A `gate` sees every written table and may raise: models that
+    need the table are then not written, independent ones still are, and the error
+    is raised at the end. Gives all tables by name and the row counts of the
+    written ones.
     """
-    tables: dict[str, DataFrame] = {name: given[name] for name in MODELS if name in given}
-    rows: dict[str, int] = {}
+    pending: dict[str, Future] = {}
+
+    def table(name: str) -> DataFrame:
+        return pending[name].result()[0] if name in pending else given[name]
 
     def write(name: str) -> tuple[DataFrame, int | None]:
         model = MODELS[name]
-        frame = _make(spark, model, lambda need: tables[need] if need in tables else given[need])
+        frame = _make(spark, model, table)
         if not model.stored:
             return frame, None
         count = store.rebuild(name, frame, model.by)
@@ -152,10 +146,11 @@ def build(
             gate(name, written)
         return written, count
 
+    # Models only wait for ones submitted before them, which run or have run by then.
     with ThreadPoolExecutor(jobs) as pool:
-        for wave in _waves(given):
-            for name, (frame, count) in zip(wave, pool.map(write, wave)):
-                tables[name] = frame
-                if count is not None:
-                    rows[name] = count
-    return tables, rows
+        for name in MODELS:
+            if name not in given:
+                pending[name] = pool.submit(write, name)
+    done = {name: future.result() for name, future in pending.items()}
+    tables = {name: done[name][0] if name in done else given[name] for name in MODELS}
+    return tables, {name: count for name, (_, count) in done.items() if count is not None}
