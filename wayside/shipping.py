@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from wayside.storage import open_folder, shared_root
+
 _PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
 
@@ -16,14 +18,19 @@ def ship_package(spark: SparkSession) -> None:
     """Make `wayside` importable in Python tasks, once per application.
 
     A job submitted with `--py-files` runs from an archive the workers have already;
-    a session started from a source tree sends them a copy.
+    a session started from a source tree puts one into the shared folder.
     """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED or not _PACKAGE.is_dir():
         return
-    archive = Path(tempfile.mkdtemp(prefix="wayside-package-")) / "wayside.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(_PACKAGE.rglob("*.py")):
             out.write(source, source.relative_to(_PACKAGE.parent))
-    context.addPyFile(str(archive))
+    root = shared_root(spark)
+    files, folder = open_folder(root)
+    files.create_dir(folder, recursive=True)
+    with files.open_output_stream(f"{folder}/wayside.zip") as out:
+        out.write(archive.getvalue())
+    context.addPyFile(f"{root}/wayside.zip")
     _SHIPPED.add(context.applicationId)

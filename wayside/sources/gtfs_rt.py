@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wayside.functions.boxes import in_box
 from wayside.schemas import BRONZE
 from wayside.shipping import ship_package
+from wayside.storage import open_folder
 
 # Field numbers and enum numbers of the specification.
 _LAYOUT = {
@@ -222,9 +223,7 @@ def write_feeds(feeds: DataFrame, root: str) -> DataFrame:
     ship_package(feeds.sparkSession)
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        target, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        target, base = open_folder(root)
         for batch in batches:
             paths = []
             for row in batch.itertuples(index=False):

@@ -24,6 +24,13 @@ def shared_root(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/wayside/{spark.sparkContext.applicationId}"
 
 
+def open_folder(root: str):
+    """File system and path of a folder, for the few files Spark has no writer for."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
