@@ -41,3 +41,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayside.llm import prefix_tokens
 
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@_query("op3_offset_pieces")
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import pieces
+
+    return pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
