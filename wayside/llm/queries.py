@@ -48,3 +48,31 @@ def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayside.llm import pieces
 
     return pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+# The SQL compares every query with every vector; the codes' error bounds are wide enough
+# for the search to return the same.
+@_query(
+    "op6_one_bit_neighbours",
+    """
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b, 0.0::DOUBLE) AS score
+        FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import one_bit
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return one_bit.nearest(vectors, vectors.where("vec_id % 20 = 0"))
