@@ -76,3 +76,39 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return one_bit.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def _crc(divisor: int):
+    """Remainder by which rows are held out; null for a row without an id."""
+    from pyspark.sql import functions as F
+
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@_query("op8_subword_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wayside.llm import subword
+
+    documents = table(spark, sf_dir, "documents")
+    model = subword.learn(subword.labelled(documents, table(spark, sf_dir, "labels"), _crc(4) != 2))
+    return subword.score(documents, model).select(
+        "doc_id",
+        F.coalesce(_crc(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= subword.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@_query("op10_rank_order_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wayside.llm import language
+
+    documents = table(spark, sf_dir, "documents")
+    learned = language.profiles(documents.where(_crc(5) != 0))
+    return language.identify(documents, learned).select(
+        "doc_id", F.coalesce(_crc(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
