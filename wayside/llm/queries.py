@@ -112,3 +112,40 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents, learned).select(
         "doc_id", F.coalesce(_crc(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@_query(
+    "op5_chosen_path_duplicates",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE
+            WHEN len(w) = 0 THEN []
+            WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+        FROM words
+    ), shingles AS (
+        SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM sets
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), smallest AS (
+        SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+    )
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN smallest USING (doc_id)
+    """,
+)
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import chosen_path
+
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, num=85)
