@@ -1,10 +1,11 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
 Vectors are centred, turned by a random rotation and kept as the signs of their parts:
-one bit each, packed into 64-bit words, with three numbers a vector. Bit counts against
-the quantised query estimate an inner product; the estimate comes with an error bound,
-and only vectors whose upper bound reaches the k-th best lower bound are compared on
-the original vectors.
+one bit each, packed into 64-bit words, with three numbers a vector. The product of a
+turned query with these signs, corrected by the numbers, estimates an inner product;
+the estimate comes with an error bound. The vectors with the highest estimates are
+compared on the original vectors, and after them only those whose upper bound reaches the
+k-th best found so.
 
 The index holds every vector, in blocks. Queries meet all blocks, so the work is the
 number of queries times the number of vectors, as the task states; what is sent is one
@@ -26,9 +27,9 @@ from wayside.storage import settle
 #: Vectors of a block of the index, and queries sent together.
 BLOCK, QUERIES = 8192, 512
 #: Standard deviations of the estimate that the error bound allows for.
-EPSILON = 4.0
-#: Bits a query's parts are rounded to.
-QUERY_BITS = 8
+EPSILON = 3.0
+#: Times k, how many of the highest estimates are compared first.
+FIRST = 5
 SEED = 7
 
 _INDEX = "g int, ids binary, codes binary, scalars binary, vectors binary"
@@ -131,23 +132,17 @@ def estimates(q: np.ndarray, centre: np.ndarray, codes: np.ndarray, scalars: np.
     norm, along, with_centre = scalars
     v = (q - centre) @ _rotation(q.shape[1])
     d = v.shape[1]
-    low = v.min(1)
-    step = np.maximum((v.max(1) - low) / (2**QUERY_BITS - 1), 1e-300)
-    whole = np.rint((v - low[:, None]) / step[:, None]).astype(np.uint32)
-    counted = np.zeros((len(q), len(codes)))
-    for bit in range(QUERY_BITS):
-        plane = np.packbits((whole >> bit) & 1, axis=1, bitorder="little").view(np.uint64)
-        for word in range(plane.shape[1]):
-            counted += np.bitwise_count(plane[:, word, None] & codes[None, :, word]) * float(1 << bit)
-    ones = np.bitwise_count(codes).sum(1)
-    # Signs are twice the bits less one, over the root of the length.
-    rounded = low[:, None] * d + step[:, None] * whole.sum(1)[:, None]
-    signed = (2 * (low[:, None] * ones + step[:, None] * counted) - rounded) / math.sqrt(d)
-    estimate = signed / along * norm + with_centre + (q @ centre - centre @ centre)[:, None]
+    length = np.linalg.norm(v, axis=1)
+    signs = np.unpackbits(codes.view(np.uint8), axis=1, bitorder="little").astype(np.float32) * 2 - 1
+    scale = norm / (along * math.sqrt(d))
+    estimate = v.astype(np.float32) @ (signs * scale[:, None].astype(np.float32)).T
+    estimate += with_centre.astype(np.float32)
+    estimate += (q @ centre - centre @ centre)[:, None].astype(np.float32)
     spread = np.sqrt(np.maximum(1 - along**2, 0)) / along * epsilon / math.sqrt(max(d - 1, 1))
-    rounding = math.sqrt(d) * step / 2
-    error = norm * (np.linalg.norm(v, axis=1)[:, None] * spread + rounding[:, None] / along)
-    return estimate, error + 1e-9 * (1 + np.abs(estimate))
+    # Single precision is allowed for on top.
+    rounding = 1e-5 * (length[:, None].max(initial=0) + np.linalg.norm(q, axis=1).max(initial=0) + np.linalg.norm(centre))
+    error = np.outer(length, norm * (spread + 1e-5)).astype(np.float32) + np.float32(rounding * (norm.max(initial=0) + 1))
+    return estimate, error
 
 
 def in_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,22 +156,28 @@ def in_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _best(q_ids, q, ids, codes, scalars, vectors, centre, k, epsilon):
     """The k nearest of a block for each of some queries: (query index, block index, score)."""
     estimate, error = estimates(q, centre, codes, scalars, epsilon)
-    own = q_ids[:, None] == ids[None, :]
-    lower = np.where(own, -np.inf, estimate - error)
-    if len(ids) > k:
-        least = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
-        chosen = (estimate + error >= least[:, None]) & ~own
-    else:
-        chosen = ~own
-    qi, ci = np.nonzero(chosen)
-    near = np.einsum("ij,ij->i", q[qi], vectors[ci])
-    order = np.lexsort((-near, qi))
-    qi, ci, near = qi[order], ci[order], near[order]
-    begin = np.searchsorted(qi, np.arange(len(q)))
-    count = np.diff(np.append(begin, len(qi)))
-    last = near[np.minimum(begin + np.minimum(count, k) - 1, len(near) - 1)] if len(near) else np.zeros(len(q))
-    kept = near >= last[qi] - 1e-9 * (1 + np.abs(last[qi]))
-    qi, ci = qi[kept], ci[kept]
+    own = np.flatnonzero(np.isin(ids, q_ids))
+    for i, j in zip(*np.nonzero(q_ids[:, None] == ids[None, own])):
+        estimate[i, own[j]] = -np.inf
+    rows, columns = [], []
+    probe = min(FIRST * k, len(ids))
+    for i in range(len(q)):
+        # The k-th best of the highest estimates, compared exactly, is what upper bounds must reach.
+        first = np.argpartition(estimate[i], len(ids) - probe)[len(ids) - probe :]
+        near = np.where(np.isneginf(estimate[i, first]), -np.inf, vectors[first] @ q[i])
+        least = np.sort(near)[-k] if probe >= k else -np.inf
+        slack = 1e-9 * (1 + abs(least)) if least > -np.inf else 0.0
+        reach = estimate[i] + error[i] >= least - slack
+        reach[first] = True
+        reach[np.isneginf(estimate[i])] = False
+        chosen = np.flatnonzero(reach)
+        near = vectors[chosen] @ q[i]
+        if len(near) > k:
+            last = np.partition(near, len(near) - k)[len(near) - k]
+            chosen = chosen[near >= last - 1e-9 * (1 + abs(last))]
+        rows.append(np.full(len(chosen), i))
+        columns.append(chosen)
+    qi, ci = np.concatenate(rows), np.concatenate(columns)
     score = in_order(q[qi], vectors[ci])
     order = np.lexsort((ids[ci], -score, qi))
     qi, ci, score = qi[order], ci[order], score[order]
