@@ -45,6 +45,18 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def run_hashes(hashes: np.ndarray, of: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of k words in a row, within one text each, and where they start."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    whole = np.flatnonzero(of[:n] == of[k - 1 :])
+    total = np.zeros(n, np.uint64)
+    for i in range(k):
+        total = total * _MULTIPLIER + hashes[i : i + n]
+    return mix(total[whole]), whole
+
+
 class Words:
     """Hashes of the words of several texts, in order.
 
@@ -87,14 +99,7 @@ class Words:
 
     def runs(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each word on, and the words that have k before their text ends."""
-        n = len(self.hashes) - k + 1
-        if n <= 0:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        whole = np.flatnonzero(self.of[:n] == self.of[k - 1 :])
-        total = np.zeros(n, np.uint64)
-        for i in range(k):
-            total = total * _MULTIPLIER + self.hashes[i : i + n]
-        return mix(total[whole]), whole
+        return run_hashes(self.hashes, self.of, k)
 
     def whole(self, text: int) -> int:
         """Hash of all words of one text, told apart from runs of another length."""

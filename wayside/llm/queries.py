@@ -149,3 +149,23 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayside.llm import chosen_path
 
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, num=85)
+
+
+@_query("op9_rare_seed_leaks")
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import leaks
+
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _license_sql() -> str:
+    from wayside.llm import licences
+
+    return licences.scan_sql()
+
+
+@_query("op7_diagonal_licenses", _license_sql())
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import licences
+
+    return licences.scan(table(spark, sf_dir, "documents"))
