@@ -169,3 +169,11 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayside.llm import licences
 
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_skip_chain_private")
+def private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import skip_chain
+
+    documents = table(spark, sf_dir, "documents")
+    return skip_chain.digests(skip_chain.spans(documents, skip_chain.learn(documents)))
