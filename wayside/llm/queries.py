@@ -177,3 +177,10 @@ def private(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = table(spark, sf_dir, "documents")
     return skip_chain.digests(skip_chain.spans(documents, skip_chain.learn(documents)))
+
+
+@_query("op1_compact_window_repeats")
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import compact
+
+    return compact.repeats(table(spark, sf_dir, "documents"))
