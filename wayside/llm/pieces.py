@@ -17,6 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from wayside.llm.batches import by_batch, texts
 from wayside.llm.prefix_tokens import Bounded
@@ -326,3 +327,30 @@ def digests(df: DataFrame, model: str | Path, id_col: str = "doc_id", text_col:
     little-endian 32-bit starts followed by ends. Odd rows as in `encode`.
     """
     return _rows(df, model, id_col, text_col, DIGESTS, _digest)
+
+
+def with_pieces(df: DataFrame, model: str | Path, text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns kept, with n_tokens and ids of the text (null: none of either).
+
+    Columns of these names that df has already are replaced.
+    """
+    kept = df.drop("n_tokens", "ids")
+    held = df.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
+    place = kept.columns.index(text_col)
+    schema = StructType([*kept.schema.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
+
+    def work(batches):
+        codec = PieceCodec(held.value)
+        for batch in batches:
+            ids = []
+            column = batch.column(place).fill_null("")
+            for at in range(0, len(column), 500):
+                plain = [codec.normalizer.apply(t)[0] for t in column.slice(at, 500).to_pylist()]
+                codec.learn(plain)
+                ids += [np.frombuffer(b"".join([c.ids for c in codec.chunks(p)]), np.int32) for p in plain]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+                [*batch.schema.names, "n_tokens", "ids"],
+            )
+
+    return by_batch(kept, work, schema)
