@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wayside.llm.batches import Words, by_batch, passes, run_hashes, signed, texts
+from wayside.llm.filters import bitmap, passing
 from wayside.storage import settle
 
 #: Words of a seed, and the share of an item's n-grams, the rarest, that are seeds.
@@ -23,8 +24,6 @@ PAD = 64
 EQUAL, DIFFERENT, GAP = 1.0, -1.0, -1.0
 #: A pair is a leak from this share of an item's words on, or from this many words.
 SHARE, WORDS = 0.5, 25.0
-#: Bits of the filter that documents' n-grams pass before the join: its size never grows.
-FILTER_BITS = 1 << 24
 
 #: All ASCII but letters and digits.
 _APART = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -63,31 +62,16 @@ def _item_grams(items: DataFrame) -> DataFrame:
     return by_batch(items, work, "item_id long, gram long")
 
 
-def _filter(grams: DataFrame) -> np.ndarray:
-    """A bitmap of n-grams; however many there are, the driver gathers its fixed size at most."""
-    bit = F.pmod("gram", F.lit(FILTER_BITS))
-    words = grams.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(gram, {FILTER_BITS}) % 64 as int))").alias("bit"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        out[row["word"]] = row["bits"]
-    return out
-
-
-def _passing(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    bit = signed(grams) & (FILTER_BITS - 1)
-    return (bitmap[bit >> 6] >> (bit & 63)) & 1 == 1
-
-
 def _frequencies(rows: DataFrame, grams: DataFrame) -> DataFrame:
     """Documents that have each n-gram of the items: a row for each n-gram and batch is shuffled."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(_filter(grams))
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(grams, F.col("gram")))
 
     def work(batches):
         for batch in batches:
             found = []
             for _, words in _words(batch.column(1)):
                 hashes, at = words.runs(N)
-                keep = _passing(bitmap.value, hashes)
+                keep = passing(held.value, signed(hashes))
                 pairs = np.unique(np.stack([words.of[at][keep], signed(hashes[keep])]), axis=1) if keep.any() else np.empty((2, 0), np.int64)
                 found.append(pairs[1])
             keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
@@ -99,14 +83,14 @@ def _frequencies(rows: DataFrame, grams: DataFrame) -> DataFrame:
 
 def _passages(rows: DataFrame, seeds: DataFrame) -> DataFrame:
     """Words around seeds: doc_id, first word, packed word hashes, and the seeds in them."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(_filter(seeds))
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(seeds, F.col("gram")))
 
     def work(batches):
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for row, words in _words(batch.column(1)):
                 hashes, at = words.runs(N)
-                keep = _passing(bitmap.value, hashes)
+                keep = passing(held.value, signed(hashes))
                 hashes, at = signed(hashes[keep]), at[keep]
                 if not len(at):
                     continue
