@@ -208,16 +208,22 @@ def raw_duplicates(spark, sf_dir):
 
 
 @query("dq_11_blocking_gate", compose("""
-SELECT vid, tmstmp, lat, lon, hdg, CASE WHEN lat BETWEEN 41 AND 43 AND lon BETWEEN -89 AND -87 THEN 'accepted' ELSE 'quarantine' END AS lane
-FROM x_bus
+SELECT *, count(*) FILTER (WHERE lane = 'quarantine') OVER () > 0 AS blocked
+FROM (SELECT vid, tmstmp, lat, lon, hdg, CASE WHEN lat BETWEEN 41 AND 43 AND lon BETWEEN -89 AND -87 THEN 'accepted' ELSE 'quarantine' END AS lane
+      FROM x_bus)
 """))
 def gate_split(spark, sf_dir):
     """A failed blocking suite stops the load; its rows go two ways."""
     rows = Landed(spark, sf_dir)["bus_positions"]
-    suite = SUITES["bronze_vehicle_positions"]
+    name = "bronze_vehicle_positions"
+    suite, blocked = SUITES[name], False
+    try:
+        quality.enforce(quality.evaluate(name, rows, suite), name, "success")
+    except quality.BlockedLoad:
+        blocked = True
     good, bad = quality.split_rows(rows, quality.row_condition(rows, suite))
     lanes = good.withColumn("lane", F.lit("accepted")).unionByName(bad.withColumn("lane", F.lit("quarantine")))
-    return lanes.select("vid", "tmstmp", "lat", "lon", "hdg", "lane")
+    return lanes.select("vid", "tmstmp", "lat", "lon", "hdg", "lane", F.lit(blocked).alias("blocked"))
 
 
 @query("dq_12_bad_row_regression", compose("""

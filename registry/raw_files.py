@@ -124,9 +124,17 @@ def weather_responses(spark, sf_dir, path):
 
 @_once
 def bus_days(spark, sf_dir, path):
-    """Conformed bus reports, one file per day."""
+    """Conformed bus reports in a folder for each day."""
     rows = Landed(spark, sf_dir)["bus_positions"].withColumn("dt", F.to_date("_ingested_at"))
-    rows.repartition("dt").write.partitionBy("dt").parquet(path)
+    rows.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+
+
+@_once
+def bus_polls(spark, sf_dir, path):
+    """Conformed bus reports in a folder for each day and hourly poll, as loads leave them."""
+    rows = Landed(spark, sf_dir)["bus_positions"].withColumn("dt", F.to_date("_ingested_at"))
+    rows = rows.withColumn("poll", F.date_format("_ingested_at", "yyyyMMdd'T'HH'0000'"))
+    rows.write.partitionBy("dt", "poll").parquet(path)
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +161,6 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_polls(spark, sf_dir, path):
     """Train reports in folders named after their poll."""
     poll = F.concat(F.lit("trains_"), F.date_format("feed_ts", "yyyyMMdd'T'HHmmss"))
-    train_rows(spark, sf_dir).withColumn("poll", poll).drop("feed_ts").repartition("poll").write.partitionBy(
+    train_rows(spark, sf_dir).withColumn("poll", poll).drop("feed_ts").hint("rebalance", "poll").write.partitionBy(
         "poll"
     ).parquet(path)

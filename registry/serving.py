@@ -12,13 +12,13 @@ from wayside.operators import serving
 
 @query("dim_01_date", compose("""
 SELECT d.*, r.report_count FROM x_dim_date d
-JOIN (SELECT report_date, sum(report_count)::BIGINT AS report_count FROM x_delay_days GROUP BY ALL) r
+LEFT JOIN (SELECT report_date, sum(report_count)::BIGINT AS report_count FROM x_delay_days GROUP BY ALL) r
   ON r.report_date = d.date_day
 """))
 def calendar_of_reports(spark, sf_dir):
     days = model(spark, sf_dir, "int_daily_transit_delay").groupBy(F.col("report_date").alias("date_day"))
     reports = days.agg(F.sum("report_count").alias("report_count"))
-    return model(spark, sf_dir, "dim_date").join(reports, "date_day")
+    return model(spark, sf_dir, "dim_date").join(reports, "date_day", "left")
 
 
 @query("dim_02_agency", compose("""
@@ -26,7 +26,7 @@ SELECT a.*, (SELECT count(*) FROM x_silver_positions p WHERE p.agency = a.agency
 """))
 def agency_reports(spark, sf_dir):
     reports = model(spark, sf_dir, "silver_vehicle_positions").groupBy("agency").agg(F.count(F.lit(1)).alias("report_count"))
-    return model(spark, sf_dir, "dim_agency").join(reports, "agency")
+    return model(spark, sf_dir, "dim_agency").join(reports, "agency", "left").fillna(0, ["report_count"])
 
 
 @query("dim_03_mode", compose("""
@@ -34,7 +34,7 @@ SELECT m.*, (SELECT count(*) FROM x_silver_positions p WHERE p.mode = m.mode) AS
 """))
 def mode_reports(spark, sf_dir):
     reports = model(spark, sf_dir, "silver_vehicle_positions").groupBy("mode").agg(F.count(F.lit(1)).alias("report_count"))
-    return model(spark, sf_dir, "dim_mode").join(reports, "mode")
+    return model(spark, sf_dir, "dim_mode").join(reports, "mode", "left").fillna(0, ["report_count"])
 
 
 def _worst(top: int) -> str:

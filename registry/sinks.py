@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from registry import query
 from registry.inputs import Landed, built
@@ -24,16 +26,27 @@ _EXPORTED = {
 
 def _counts(names) -> str:
     return compose("\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {piece}" for name, piece in names.items()
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, 0::BIGINT AS differing FROM {piece}" for name, piece in names.items()
     ))
 
 
+def _differing(written, meant):
+    """Rows of either side that the other lacks."""
+    meant = meant.select(written.columns)
+    lacking = written.exceptAll(meant).unionByName(meant.exceptAll(written))
+    return lacking.agg(F.count(F.lit(1)).alias("differing"))
+
+
 @query("snk_01_parquet_export", _counts(_EXPORTED))
 def exports(spark, sf_dir):
     tables, _, _ = built(spark, sf_dir)
     store = TableStore(spark, fresh_folder(spark, "exports"))
     rows = sinks.export_marts(tables, store)
-    return sinks.load_metrics(spark, rows, store).drop("path")
+    checked = [
+        _differing(store.read(name), make(tables)).select(F.lit(name).alias("table_name"), "differing")
+        for name, make in sinks.EXPORTS.items()
+    ]
+    return sinks.load_metrics(spark, rows, store).drop("path").join(reduce(DataFrame.unionByName, checked), "table_name")
 
 
 _COPIED = {"mart_otp_by_route": "x_otp_route", "mart_segment_speed_profile": "x_speed_profile"}
@@ -49,14 +62,14 @@ def snapshot(spark, sf_dir):
         spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/{database}'")
     for name in _COPIED:
         tables[name].write.saveAsTable(f"{live}.{name}")
-    sinks.snapshot_tables(spark, live, copy)
-    counts = [
-        spark.table(f"{copy}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
+    copied = sinks.snapshot_tables(spark, live, copy)
+    checked = [
+        _differing(spark.table(f"{copy}.{name}"), tables[name]).select(
+            F.lit(name).alias("table_name"), F.lit(rows).cast("bigint").alias("row_count"), "differing"
         )
-        for name in _COPIED
+        for name, rows in copied.items()
     ]
-    return counts[0].unionByName(counts[1])
+    return reduce(DataFrame.unionByName, checked)
 
 
 @query("snk_03_table_rebuild", compose("SELECT * FROM x_bus WHERE dly"))

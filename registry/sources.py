@@ -12,7 +12,7 @@ from registry.parts import IN_BOX, compose
 from wayside.operators import silver
 from wayside.schemas import BRONZE
 from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
-from wayside.storage import TableStore, fresh_folder
+from wayside.storage import TableStore, fresh_folder, settle
 
 _AT = f"TIMESTAMP '{raw_files.LOADED_AT}' AS _ingested_at"
 
@@ -147,22 +147,28 @@ FROM x_decoded GROUP BY ALL
 """
 
 
-@query("src_08_gtfs_rt_encode", compose(f"SELECT dt, sum(entities)::BIGINT AS entities FROM ({_FEED_FILES}) GROUP BY dt"))
+@query("src_08_gtfs_rt_encode", compose(f"""
+SELECT path, dt, entities, '2.0' AS version, 0 AS incrementality, epoch(dt)::BIGINT AS header_at FROM ({_FEED_FILES})
+"""))
 def encoded_feeds(spark, sf_dir):
-    return _feeds(spark, sf_dir).groupBy("dt").agg(F.sum("entities").alias("entities"))
+    """One file for every poll, each with its own header."""
+    root = fresh_folder(spark, "feeds")
+    gtfs_rt.write_feeds(_feeds(spark, sf_dir), root).agg(F.sum("entities")).collect()
+    files = gtfs_rt.headers(gtfs_rt.read_feeds(spark, root))
+    day = F.to_date(F.regexp_extract("path", "dt=([^/]+)/", 1))
+    return files.withColumn("dt", day).withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 
-@query("src_09_protobuf_backfill", compose(f"""
-SELECT dt, sum(entities)::BIGINT AS entities FROM ({_FEED_FILES}) WHERE day(dt) % 2 = 1 GROUP BY dt
-"""))
+@query("src_09_protobuf_backfill", compose(f"SELECT path, dt, entities FROM ({_FEED_FILES}) WHERE day(dt) % 2 = 1"))
 def backfilled_feeds(spark, sf_dir):
     """Even days already have their feed file; only odd ones are written."""
     polls, root = raw_files.train_polls(spark, sf_dir), fresh_folder(spark, "feeds")
     rows = raw_files.train_rows(spark, sf_dir)
     present = _feeds(spark, sf_dir, rows.where(F.dayofmonth("feed_ts") % 2 == 0))
     gtfs_rt.write_feeds(present, root).agg(F.sum("entities")).collect()
-    written = gtfs_rt.backfill(spark, polls, root)
-    return written.groupBy("dt").agg(F.sum("entities").cast("bigint").alias("entities"))
+    written = settle(gtfs_rt.write_feeds(gtfs_rt.backfill(spark, polls, root), root), "written")
+    name = F.element_at(F.split("path", "/"), -1)
+    return written.select(name.alias("path"), F.to_date(F.regexp_extract("path", "dt=([^/]+)/", 1)).alias("dt"), "entities")
 
 
 _ROAD = compose(f"SELECT * REPLACE (TIMESTAMP '{raw_files.LOADED_AT}' AS _ingested_at) FROM x_congestion")
@@ -179,14 +185,15 @@ query("src_10_socrata_json_conform", _ROAD)(_road)
 def road_slice(spark, sf_dir):
     """Oldest first from a start date, landed as pages and read back."""
     path = fresh_folder(spark, "pages")
-    open_data.land_pages(open_data.congestion_slice(_road(spark, sf_dir), "2018-02-01", None), path)
+    open_data.land_pages(open_data.congestion_slice(_road(spark, sf_dir), "2018-02-01"), path)
     return spark.read.parquet(path)
 
 
 @query("src_12_adt_reference", _ROAD)
-def inferred_reference(spark, sf_dir):
-    """The same pages with inferred columns: the nested point is gone."""
-    return open_data.scan(spark, raw_files.open_data_pages(spark, sf_dir), raw_files.loaded_at())
+def reference_records(spark, sf_dir):
+    """The same pages under a declared schema with the nested point: it is gone."""
+    ddl = f"{BRONZE['congestion']}, _start_point struct<type: string, coordinates: array<string>>"
+    return open_data.scan(spark, raw_files.open_data_pages(spark, sf_dir), raw_files.loaded_at(), ddl)
 
 
 @query("src_13_weather_columnar_json", compose(f"""
@@ -204,10 +211,11 @@ def all_bus_days(spark, sf_dir):
 
 
 @query("src_15_latest_file_scan", compose("""
-SELECT *, _ingested_at::DATE AS dt FROM x_bus WHERE _ingested_at::DATE = (SELECT max(_ingested_at)::DATE FROM x_bus)
+SELECT * FROM x_bus WHERE date_trunc('hour', _ingested_at) = (SELECT date_trunc('hour', max(_ingested_at)) FROM x_bus)
 """))
-def newest_bus_file(spark, sf_dir):
-    return landing.newest_file(spark, raw_files.bus_days(spark, sf_dir), BRONZE["bus_positions"])
+def newest_bus_poll(spark, sf_dir):
+    """Hourly polls in folders of their own, each of several files: all of the last one's."""
+    return landing.newest_poll(spark, raw_files.bus_polls(spark, sf_dir), BRONZE["bus_positions"])
 
 
 @query("slv_05_train_positions_from_feeds", compose(f"""

@@ -130,7 +130,7 @@ def two_feeds(spark, sf_dir):
             _bus_stream(spark, sf_dir), positions.append_to(store, "bus"), progress["bus"]
         ),
         "train": lambda: positions.start(trains, lossy, progress["train"]),
-    })
+    }, lasting=True, delay=0.1)
     counts = [
         store.read(name).agg(F.count(F.lit(1)).alias("reports")).select(F.lit(name).alias("feed"), "reports")
         for name in progress

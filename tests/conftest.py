@@ -11,8 +11,9 @@ from wayside.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    conf = {"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    session = local_session(8, "tests", **conf)
     yield session
     session.stop()
 

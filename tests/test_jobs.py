@@ -74,14 +74,19 @@ def test_build_and_export(spark, bronze, tmp_path, rows):
         assert len(list((tmp_path / "out" / name).glob("part-*.parquet"))) == 1
 
 
-def test_bad_newest_file_blocks_the_build(spark, bronze, tmp_path):
+def test_bad_newest_poll_blocks_the_build(spark, bronze, tmp_path):
+    """Six polls of one day, only the last of them bad; a poll loaded again replaces itself."""
     folder, store = tmp_path / "raw", TableStore(spark, str(tmp_path / "bronze"))
-    jobs.land_bus(spark, _poll(folder / "b1", _vehicles(41.9)), store, AT)
+    for i in range(5):
+        jobs.land_bus(spark, _poll(folder / f"b{i}", _vehicles(41.9)), store, AT + dt.timedelta(minutes=2 * i))
     jobs.land_trains(spark, _poll(folder / "t1", _trains(41.9, 42.0, 41.7, 41.6, 0)), store, AT)
     jobs.gate_landed(spark, store)
-    jobs.land_bus(spark, _poll(folder / "b2", _vehicles(41.9, 0.0)), store, AT + dt.timedelta(days=1))
+    jobs.land_bus(spark, _poll(folder / "b5", _vehicles(41.9, 0.0)), store, AT + dt.timedelta(minutes=10))
     with pytest.raises(quality.BlockedLoad, match="bronze_vehicle_positions"):
         jobs.gate_landed(spark, store)
+    jobs.land_bus(spark, _poll(folder / "b6", _vehicles(41.9, 41.8)), store, AT + dt.timedelta(minutes=10))
+    jobs.gate_landed(spark, store)
+    assert store.read(jobs.BUS).count() == 7
 
 
 def test_failed_gate_keeps_dependants_from_being_written(spark, bronze, tmp_path):
@@ -96,7 +101,7 @@ def test_failed_gate_keeps_dependants_from_being_written(spark, bronze, tmp_path
 
 def test_live_tables(spark, bronze, tmp_path, rows):
     live = TableStore(spark, str(tmp_path))
-    assert jobs.stream_fleet(spark, bronze, live, cadence=None) == []
+    jobs.stream_fleet(spark, bronze, live, cadence=None)
     assert rows(positions.fleet(live), "vehicle_id") == [("0",), ("1",)]
     assert (live.read("accepted").count(), live.read("quarantine").count()) == (4, 1)
     assert live.read("checks").agg(F.count("*")).first()[0] == 7

@@ -86,21 +86,17 @@ def test_open_data_drops_nested_points(spark, tmp_path):
     assert sorted(table.columns) == ["_ingested_at", "extra", "id", "n"] and table.count() == 2
 
 
-def test_congestion_slice_caps_and_pages(spark, tmp_path, monkeypatch):
+def test_congestion_slice_takes_all_and_pages(spark, tmp_path, monkeypatch):
     rows = spark.range(1000).select(
         F.format_string("2018-01-%02dT00:00:00.000", (F.col("id") % 28 + 1).cast("int")).alias("time"),
         F.col("id").cast("string").alias("segment_id"),
     )
     old = rows.limit(3).withColumn("time", F.lit("2017-12-31T23:00:00.000"))
-    taken = open_data.congestion_slice(rows.unionByName(old), max_rows=100)
-    assert taken.agg(F.min("time"), F.max("time")).first() == ("2018-01-01T00:00:00.000", "2018-01-03T00:00:00.000")
-    assert taken.groupBy("time").count().orderBy("time").collect()[:2] == rows.groupBy("time").count().orderBy("time").limit(2).collect()
-    assert open_data.congestion_slice(rows, max_rows=1000).count() == 1000
-    assert open_data.congestion_slice(rows, max_rows=72).count() == 72
-    assert open_data.congestion_slice(rows, max_rows=None).count() == 1000
+    taken = open_data.congestion_slice(rows.unionByName(old))
+    assert taken.count() == 1000 and open_data.congestion_slice(rows.unionByName(old), None).count() == 1003
     monkeypatch.setattr(open_data, "PAGE_ROWS", 30)
     path = tmp_path / "pages"
-    assert open_data.land_pages(taken, str(path)) == 100
+    assert open_data.land_pages(taken, str(path)) == 1000
     assert spark.read.parquet(str(path)).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 30
 
 
@@ -168,8 +164,8 @@ def test_feed_round_trip(spark, rows):
         ("4", "blue", seen, None, -87.0, 1, False, False, "31", POLL),
     )
     feeds = gtfs_rt.encode(trains, _polls(trains))
-    file = feeds.first()
-    assert (file.path, file.dt, file.entities) == ("trains_20240131T101500.pb", dt.date(2024, 1, 31), 2)
+    sums = feeds.groupBy("path", "dt").agg(F.sum("entities")).collect()
+    assert [tuple(r) for r in sums] == [("trains_20240131T101500.pb", dt.date(2024, 1, 31), 2)]
     decoded = gtfs_rt.decode(feeds)
     assert [f.dataType.simpleString() for f in decoded.schema] == ["string", "string", "double", "double", "int", "boolean", "string", "timestamp_ntz"]
     first, second = decoded.orderBy("vehicle_id").collect()
@@ -189,20 +185,46 @@ def test_decoder_skips_other_entities(spark):
     assert (row.vehicle_id, row.route_id, row.lat, row.lon, row.heading, row.report_ts) == (None, None, 41.5, 0.0, None, None)
 
 
-def test_large_poll_is_split_and_empty_poll_keeps_its_header(spark, rows):
-    many = spark.range(1000).select(
+def _many(spark, n):
+    return spark.range(n).repartition(7).select(
         F.col("id").cast("string").alias("rn"), F.lit("red").alias("rt"), F.lit(POLL).cast("timestamp_ntz").alias("tmstmp"),
         F.lit(41.5).alias("lat"), F.lit(-87.5).alias("lon"), F.lit(1).alias("heading"), F.lit(True).alias("isApp"),
         F.lit(False).alias("isDly"), F.lit("1").alias("nextStpId"), F.lit(POLL).cast("timestamp_ntz").alias("feed_ts"))
+
+
+def test_every_poll_is_one_file_with_one_header(spark, tmp_path, rows):
+    many = _many(spark, 1000)
     idle = dt.datetime(2024, 1, 31, 10, 17)
-    polls = many.select("feed_ts").distinct().unionByName(spark.createDataFrame([(idle,)], "feed_ts timestamp_ntz"))
-    files = gtfs_rt.encode(many, polls, per_file=100).collect()
-    parts = [f for f in files if "T1015" in f.path]
-    assert len(parts) == 10 and sum(f.entities for f in parts) == 1000 and max(f.entities for f in parts) < 200
-    (empty,) = [f for f in files if "T1017" in f.path]
-    message = gtfs_rt.feed_message()()
-    message.ParseFromString(bytes(empty.content))
-    assert empty.entities == 0 and message.header.timestamp == int(idle.replace(tzinfo=dt.timezone.utc).timestamp())
+    polls = _polls(many).unionByName(spark.createDataFrame([(idle,)], "feed_ts timestamp_ntz"))
+    chunks = gtfs_rt.encode(many, polls)
+    assert chunks.where("entities > 0").count() == 7
+    written = gtfs_rt.write_feeds(chunks, str(tmp_path))
+    assert rows(written, "entities") == [(0,), (1000,)]
+    files = sorted(tmp_path.glob("dt=2024-01-31/*"))
+    assert [f.name for f in files] == ["trains_20240131T101500.pb", "trains_20240131T101700.pb"]
+    for file, at, n in zip(files, (POLL, idle), (1000, 0)):
+        message = gtfs_rt.feed_message()()
+        message.ParseFromString(file.read_bytes())
+        assert message.header.timestamp == int(at.replace(tzinfo=dt.timezone.utc).timestamp())
+        assert (message.header.gtfs_realtime_version, message.header.incrementality, len(message.entity)) == ("2.0", 0, n)
+        # A reader that takes the last header of several would still find the same one.
+        assert file.read_bytes().count(b"\x0a\x03" + b"2.0") == 1
+
+
+def test_a_poll_whose_writer_is_lost_stays_pending(spark, tmp_path, rows):
+    polls, root = tmp_path / "polls", tmp_path / "feeds"
+    seen = dt.datetime(2024, 1, 31, 10)
+    train = spark.createDataFrame(
+        [("1", "red", seen, 41.9, -87.6, 90, None, None, None, None, "30", None, True, False, None, seen)], BRONZE["train_positions"])
+    train.write.parquet(str(polls / "dt=2024-01-31" / "trains_20240131T100000.parquet"))
+    root.mkdir()
+    chunks = gtfs_rt.backfill(spark, str(polls), str(root))
+    broken = chunks.withColumn("content", F.when(F.col("entities") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="lost"):
+        gtfs_rt.write_feeds(broken, str(root)).collect()
+    assert gtfs_rt.pending_polls(spark, str(polls), str(root)).count() == 1
+    gtfs_rt.write_feeds(gtfs_rt.backfill(spark, str(polls), str(root)), str(root)).collect()
+    assert gtfs_rt.pending_polls(spark, str(polls), str(root)).count() == 0
 
 
 def test_backfill_is_idempotent(spark, tmp_path, rows):

@@ -106,19 +106,45 @@ def test_gate_quarantines_rows(spark, folders, rows):
     assert rows(store.read("checks"), "position", "unexpected", "success") == [(1, 1, False), (2, 1, False)]
 
 
-def test_a_feed_that_keeps_failing_does_not_stop_the_other(spark, folders, rows):
+def _feed(spark, root, progress, name, handle):
+    return lambda: positions.start(positions.positions_stream(spark, root), handle, f"{progress}-{name}")
+
+
+def test_a_run_over_what_is_there_raises_when_the_others_have_ended(spark, folders):
     root, store, progress = folders
     store.spark = spark
     _land(spark, root, _report("1", 0))
-    tries = []
 
     def broken(batch, batch_id):
-        tries.append(batch_id)
         raise RuntimeError("feed down")
 
-    def begin(name, handle):
-        return lambda: positions.start(positions.positions_stream(spark, root), handle, f"{progress}-{name}")
-
     with pytest.raises(Exception, match="feed down"):
-        feeds.run_feeds({"bad": begin("bad", broken), "good": begin("good", positions.append_to(store, "good"))}, attempts=2)
-    assert len(tries) == 2 and store.read("good").count() == 1
+        feeds.run_feeds({
+            "bad": _feed(spark, root, progress, "bad", broken),
+            "good": _feed(spark, root, progress, "good", positions.append_to(store, "good")),
+        })
+    assert store.read("good").count() == 1
+
+
+def test_a_lasting_feed_outlives_many_failures(spark, folders):
+    root, store, progress = folders
+    store.spark = spark
+    _land(spark, root, _report("1", 0))
+    land, tries, told = positions.append_to(store, "bad"), [], []
+
+    def flaky(batch, batch_id):
+        tries.append(batch_id)
+        if len(tries) <= 10:
+            raise RuntimeError(f"down {len(tries)}")
+        land(batch, batch_id)
+
+    feeds.run_feeds(
+        {
+            "bad": _feed(spark, root, progress, "bad", flaky),
+            "good": _feed(spark, root, progress, "good", positions.append_to(store, "good")),
+        },
+        lasting=True, report=lambda name, error: told.append((name, str(error))), delay=0.0,
+    )
+    assert [name for name, _ in told] == ["bad"] * 10
+    assert all(f"down {i}" in text for i, (_, text) in enumerate(told, 1))
+    assert store.read("good").count() == store.read("bad").count() == 1

@@ -18,10 +18,10 @@ from wayside.plans.rules import ASSERTIONS, BLOCKING_SUITES, SUITES, TABLE_RULES
 from wayside.schemas import BRONZE
 from wayside.session import cluster_session
 from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
-from wayside.storage import TableStore
+from wayside.storage import TableStore, open_folder
 from wayside.streaming import feeds, positions
 
-# Folders of the landed feeds, and the suite each newest file must pass.
+# Folders of the landed feeds, and the suite each newest poll must pass.
 BUS = "cta/gtfs_rt/vehicle_positions"
 TRAIN = "cta/train_tracker/positions"
 TRAIN_FEEDS = "cta/gtfs_rt/train_positions_pb"
@@ -41,9 +41,9 @@ def _stamp(at: dt.datetime) -> Column:
 
 
 def land_bus(spark: SparkSession, responses: str, bronze: TableStore, at: dt.datetime) -> int:
-    """Append one poll's vehicles under its day."""
+    """Write one poll's vehicles under its day and time; the same poll again replaces its earlier load."""
     rows = bus_feed.conform(bus_feed.read_responses(spark, responses), _stamp(at))
-    return bronze.append(BUS, rows.withColumn("dt", F.lit(at.date())))
+    return bronze.rebuild(f"{BUS}/dt={at:%Y-%m-%d}/poll={at:%Y%m%dT%H%M%S}", rows)
 
 
 def land_trains(spark: SparkSession, responses: str, bronze: TableStore, at: dt.datetime) -> int:
@@ -94,7 +94,7 @@ def open_bronze(spark: SparkSession, bronze: TableStore) -> dict[str, DataFrame]
     static = {name: landing.newest_snapshot(spark, bronze.path(f"{STATIC}/{name}")) for name in STATIC_TABLES}
     return {
         **static,
-        "bus_positions": landing.typed_scan(spark, bronze.path(BUS), BRONZE["bus_positions"]).drop("dt"),
+        "bus_positions": landing.typed_scan(spark, bronze.path(BUS), BRONZE["bus_positions"]).drop("dt", "poll"),
         "decoded_trains": gtfs_rt.decode(gtfs_rt.read_feeds(spark, bronze.path(TRAIN_FEEDS))),
         "congestion": landing.typed_scan(
             spark, bronze.path(CONGESTION), BRONZE["congestion"] + ", _ingested_at timestamp_ntz"
@@ -104,11 +104,11 @@ def open_bronze(spark: SparkSession, bronze: TableStore) -> dict[str, DataFrame]
 
 
 def gate_landed(spark: SparkSession, bronze: TableStore) -> None:
-    """The newest file of each live feed must pass its suite before anything is built."""
+    """The newest poll of each live feed must pass its suite before anything is built."""
     roots = {"bronze_vehicle_positions": (BUS, "bus_positions"), "bronze_train_positions": (TRAIN, "train_positions")}
     for suite in BLOCKING_SUITES:
         root, table = roots[suite]
-        newest = landing.newest_file(spark, bronze.path(root), BRONZE[table])
+        newest = landing.newest_poll(spark, bronze.path(root), BRONZE[table])
         quality.enforce(quality.evaluate(suite, newest, SUITES[suite]), suite, "success")
 
 
@@ -135,24 +135,32 @@ def open_lake(lake: TableStore) -> dict[str, DataFrame]:
 # --- streaming -------------------------------------------------------------------
 
 
-def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cadence: str | None = feeds.CADENCE):
-    """Gate the bus feed and keep the newest report per vehicle, side by side.
+def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cadence: str | None = feeds.CADENCE) -> None:
+    """Gate the bus feed, and keep the newest accepted report per vehicle.
 
-    Without a cadence both run once over what has landed.
+    At a cadence both run for ever side by side. Without one the gate works on what has
+    landed, and then the fleet on what it accepted.
     """
     suite = "bronze_vehicle_positions"
+    files, accepted = open_folder(live.path("accepted"))
+    files.create_dir(accepted, recursive=True)
 
-    def reports() -> DataFrame:
-        return positions.positions_stream(spark, bronze.path(BUS), BRONZE["bus_positions"]).drop("dt")
+    def reports(root: str, folders: list[str]) -> DataFrame:
+        return positions.positions_stream(spark, root, BRONZE["bus_positions"]).drop(*folders)
 
-    return feeds.run_feeds({
-        "gate": lambda: positions.start(
-            reports(), positions.gated(live, suite, SUITES[suite]), live.path("progress/gate"), cadence
-        ),
-        "fleet": lambda: positions.start(
-            bus_reports(reports()).where(in_box("lat", "lon")), positions.latest_fleet(live), live.path("progress/fleet"), cadence
-        ),
-    })
+    def gate():
+        handle = positions.gated(live, suite, SUITES[suite])
+        return positions.start(reports(bronze.path(BUS), ["dt", "poll"]), handle, live.path("progress/gate"), cadence)
+
+    def fleet():
+        found = bus_reports(reports(live.path("accepted"), ["batch"])).where(in_box("lat", "lon"))
+        return positions.start(found, positions.latest_fleet(live), live.path("progress/fleet"), cadence)
+
+    if cadence:
+        feeds.run_feeds({"gate": gate, "fleet": fleet}, lasting=True)
+    else:
+        feeds.run_feeds({"gate": gate})
+        feeds.run_feeds({"fleet": fleet})
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -21,6 +21,11 @@ CLUSTER_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Reducers a shuffle starts with. Adaptive execution merges them down to the advised
+# size, but it cannot split a window's or an aggregate's, so a cluster starts high: at
+# 100 TB shuffled that is 5 GB for each, which spills within an executor.
+REDUCERS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 # One JVM, eight threads: small shuffles, no UI.
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -33,7 +38,7 @@ LOCAL_CONF = {
 def cluster_session(app: str = "wayside", **conf: str) -> SparkSession:
     """Session on whatever master spark-submit names."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**CLUSTER_CONF, **conf}.items():
+    for key, value in {**CLUSTER_CONF, **REDUCERS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

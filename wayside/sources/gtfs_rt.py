@@ -6,8 +6,11 @@ fields used here are declared, unknown ones are skipped by the decoder.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import itertools
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,10 +47,43 @@ FULL_DATASET = 0
 INCOMING_AT, IN_TRANSIT_TO = 0, 2
 RUNNING_SMOOTHLY, CONGESTION = 1, 3
 
-# A poll larger than this is written as several feed files.
-FEED_ENTITIES = 10_000
+# Rows of a task's output batch, and entities of a chunk, at most.
+BATCH = 10_000
 
-_FEED_FILES = "path string, dt date, entities int, content binary"
+_CHUNKS = "path string, dt date, entities int, content binary"
+
+
+def _kept(value):
+    """A value, or None for whatever stands for a missing one."""
+    return None if value is None or value != value or value is pd.NaT or value == "" else value
+
+
+class Wire(NamedTuple):
+    """One fact of a vehicle entity: where it lies, and how it is written and read.
+
+    `source` is the train column that feeds it and `write` makes the wire value of that
+    column; None leaves the field out. `column` is the decoded column it gives, if any,
+    and `read` makes that column's value of the field, which is None where it is absent.
+    """
+
+    path: str
+    source: str
+    write: Callable = _kept
+    column: str | None = None
+    read: Callable = _kept
+
+
+WIRE = [
+    Wire("vehicle.id", "rn", column="vehicle_id"),
+    Wire("trip.route_id", "rt", column="route_id"),
+    Wire("position.latitude", "lat", column="lat", read=lambda v: v or 0.0),
+    Wire("position.longitude", "lon", column="lon", read=lambda v: v or 0.0),
+    Wire("position.bearing", "heading", column="heading", read=lambda v: None if v is None else int(v)),
+    Wire("congestion_level", "isDly", lambda v: CONGESTION if _kept(v) else RUNNING_SMOOTHLY, "is_delayed", lambda v: v == CONGESTION),
+    Wire("stop_id", "nextStpId", column="stop_id"),
+    Wire("timestamp", "seen_at", lambda v: int(v) if _kept(v) else None, "report_ts"),
+    Wire("current_status", "isApp", lambda v: INCOMING_AT if _kept(v) else IN_TRANSIT_TO),
+]
 
 
 @cache
@@ -94,46 +130,57 @@ def decode(feeds: DataFrame) -> DataFrame:
     return feeds.select("content").mapInPandas(_decode_batches, BRONZE["decoded_trains"])
 
 
+def headers(feeds: DataFrame) -> DataFrame:
+    """One row per feed file: its path, header fields and number of entities."""
+    ship_package(feeds.sparkSession)
+
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [feed_message().FromString(bytes(content)) for content in batch["content"]]
+            yield pd.DataFrame({
+                "path": batch["path"],
+                "version": [f.header.gtfs_realtime_version for f in found],
+                "incrementality": [f.header.incrementality for f in found],
+                "header_at": [f.header.timestamp for f in found],
+                "entities": [len(f.entity) for f in found],
+            })
+
+    return feeds.mapInPandas(read, "path string, version string, incrementality int, header_at bigint, entities int")
+
+
+def _field(message, path: str):
+    """The value at a dotted path, or None where a step of it is absent."""
+    for name in path.split("."):
+        if not message.HasField(name):
+            return None
+        message = getattr(message, name)
+    return message
+
+
+def _set_field(message, path: str, value) -> None:
+    *steps, last = path.split(".")
+    for name in steps:
+        message = getattr(message, name)
+    setattr(message, last, value)
+
+
 def _decode_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows: list[tuple] = []
+    read = [w for w in WIRE if w.column]
+    columns = [part.split()[0] for part in BRONZE["decoded_trains"].split(", ")]
+
+    def rows(batch):
         for content in batch["content"]:
-            rows.extend(_vehicle_rows(content))
-            if len(rows) >= FEED_ENTITIES:
-                yield _decoded_frame(rows)
-                rows = []
-        yield _decoded_frame(rows)
-
-
-def _decoded_frame(rows: list[tuple]) -> pd.DataFrame:
-    names = [part.split()[0] for part in BRONZE["decoded_trains"].split(", ")]
-    frame = pd.DataFrame(rows, columns=names)
-    frame["heading"] = frame["heading"].astype("Int32")
-    # The epoch holds local wall time written as if it were UTC; no zone is applied.
-    frame["report_ts"] = pd.to_datetime(frame["report_ts"], unit="s")
-    return frame
-
-
-def _vehicle_rows(content: bytes) -> list[tuple]:
-    message = feed_message()()
-    message.ParseFromString(bytes(content))
-    rows = []
-    for entity in message.entity:
-        if not entity.HasField("vehicle"):
-            continue
-        seen = entity.vehicle
-        place = seen.position
-        rows.append((
-            seen.vehicle.id or None,
-            seen.trip.route_id or None,
-            place.latitude,
-            place.longitude,
-            int(place.bearing) if place.HasField("bearing") else None,
-            seen.congestion_level == CONGESTION,
-            seen.stop_id or None,
-            seen.timestamp if seen.HasField("timestamp") else None,
-        ))
-    return rows
+            feed = feed_message().FromString(bytes(content))
+            for vehicle in (e.vehicle for e in feed.entity if e.HasField("vehicle")):
+                yield {w.column: w.read(_field(vehicle, w.path)) for w in read}
+
+    for batch in batches:
+        left = rows(batch)
+        while part := list(itertools.islice(left, BATCH)):
+            frame = pd.DataFrame(part, columns=columns).astype({"heading": "Int32"})
+            # The epoch holds local wall time written as if it were UTC; no zone is applied.
+            frame["report_ts"] = pd.to_datetime(frame["report_ts"], unit="s")
+            yield frame
 
 
 def epoch_seconds(stamp: Column | str) -> Column:
@@ -143,100 +190,81 @@ def epoch_seconds(stamp: Column | str) -> Column:
     return days * 86_400 + F.hour(stamp) * 3_600 + F.minute(stamp) * 60 + F.second(stamp)
 
 
-def feed_name(stamp: Column, part: Column) -> Column:
-    """trains_20240131T101500.pb; the parts after the first carry their number."""
-    base = F.concat(F.lit("trains_"), F.date_format(stamp, "yyyyMMdd'T'HHmmss"))
-    numbered = F.when(part > 0, F.format_string("_p%04d", part)).otherwise(F.lit(""))
-    return F.concat(base, numbered, F.lit(".pb"))
+def feed_name(stamp: Column) -> Column:
+    """trains_20240131T101500.pb"""
+    return F.concat(F.lit("trains_"), F.date_format(stamp, "yyyyMMdd'T'HHmmss"), F.lit(".pb"))
 
 
-def encode(trains: DataFrame, polls: DataFrame, per_file: int = FEED_ENTITIES) -> DataFrame:
-    """Feed files for polls: path below the feed root, day, entity count, bytes.
+def encode(trains: DataFrame, polls: DataFrame) -> DataFrame:
+    """Chunks of feed files for polls: path below the feed root, day, entity count, bytes.
 
-    `trains` is train rows with their poll's time in `feed_ts`; `polls` lists the
-    polls to write (`feed_ts`), so one without a usable train still gets its
-    header-only file. Trains without a position or outside the city are left out.
-    A poll over `per_file` trains is split by hash into several files, so no task
-    holds more than about that many, whatever one poll's share of the rows.
+    `trains` is train rows with their poll's time in `feed_ts`; `polls` lists the polls to
+    write (`feed_ts`). Serialised feed messages may be put one after the other: each poll
+    has one chunk with its header, also without a usable train, and chunks of entities
+    as tasks come by them. No task holds a poll, whatever its size, and every poll is
+    one file. Trains without a position or outside the city are left out.
     """
     ship_package(trains.sparkSession)
-    usable = trains.where(in_box("lat", "lon"))
-    sizes = usable.groupBy("feed_ts").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = polls.join(sizes, "feed_ts", "left").select(
-        "feed_ts",
-        F.coalesce("_n", F.lit(0)).alias("_n"),
-        F.greatest(F.lit(1), F.ceil(F.coalesce("_n", F.lit(0)) / per_file)).cast("int").alias("_parts"),
-    )
-    wire = ["rn", "rt", "lat", "lon", "heading", "isApp", "isDly", "nextStpId"]
-    spread = F.pmod(F.xxhash64("rn", "rt", "lat", "lon", "tmstmp"), F.col("_parts")).cast("int")
-    entities = usable.join(sizes, "feed_ts").select(
-        "feed_ts", spread.alias("part"), *wire, epoch_seconds("tmstmp").alias("seen_at"), F.lit(True).alias("usable")
-    )
-    blank = {name: F.lit(None).cast(entities.schema[name].dataType).alias(name) for name in [*wire, "seen_at"]}
-    empty = sizes.where("_n = 0").select(
-        "feed_ts", F.lit(0).alias("part"), *blank.values(), F.lit(False).alias("usable")
-    )
-    named = entities.unionByName(empty).select(
-        feed_name(F.col("feed_ts"), F.col("part")).alias("path"),
-        F.to_date("feed_ts").alias("dt"),
-        epoch_seconds("feed_ts").alias("header_at"),
-        *wire,
-        "seen_at",
-        "usable",
-    )
-    return named.groupBy("path", "dt", "header_at").applyInPandas(_encode_file, _FEED_FILES)
-
-
-def _encode_file(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    path, day, header_at = key
-    message = feed_message()()
-    message.header.gtfs_realtime_version = VERSION
-    message.header.incrementality = FULL_DATASET
-    message.header.timestamp = int(header_at)
-    # A fixed order makes a rerun task write the same bytes.
-    rows = rows[rows["usable"]].sort_values(["rn", "rt", "lat", "lon", "seen_at"], na_position="last")
-    for row in rows.itertuples(index=False):
-        entity = message.entity.add(id=_text(row.rn))
-        vehicle = entity.vehicle
-        vehicle.vehicle.id = _text(row.rn)
-        vehicle.trip.route_id = _text(row.rt)
-        vehicle.position.latitude = row.lat
-        vehicle.position.longitude = row.lon
-        if not pd.isna(row.heading):
-            vehicle.position.bearing = row.heading
-        if _text(row.nextStpId):
-            vehicle.stop_id = row.nextStpId
-        vehicle.current_status = INCOMING_AT if row.isApp is True or row.isApp == 1 else IN_TRANSIT_TO
-        vehicle.congestion_level = CONGESTION if row.isDly is True or row.isDly == 1 else RUNNING_SMOOTHLY
-        if not pd.isna(row.seen_at) and row.seen_at:
-            vehicle.timestamp = int(row.seen_at)
-    content = message.SerializeToString()
-    return pd.DataFrame({"path": [path], "dt": [day], "entities": [len(rows)], "content": [content]})
-
-
-def _text(value) -> str:
-    return "" if pd.isna(value) else str(value)
-
-
-def write_feeds(feeds: DataFrame, root: str) -> DataFrame:
-    """Write each feed file to `<root>/dt=<day>/<path>`; lazy, one row per file."""
-    ship_package(feeds.sparkSession)
+    named = [feed_name(F.col("feed_ts")).alias("path"), F.to_date("feed_ts").alias("dt")]
+    usable = trains.where(in_box("lat", "lon")).join(polls.distinct(), "feed_ts", "left_semi")
+    usable = usable.withColumn("seen_at", epoch_seconds("tmstmp"))
+    entities = usable.select(*named, *(w.source for w in WIRE)).mapInPandas(_encode_entities, _CHUNKS)
+    headers = polls.distinct().select(*named, epoch_seconds("feed_ts").alias("header_at"))
+    return headers.mapInPandas(_encode_headers, _CHUNKS).unionByName(entities)
+
+
+def _encode_headers(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for polls in batches:
+        content = []
+        for at in polls["header_at"]:
+            feed = feed_message()()
+            header = {"gtfs_realtime_version": VERSION, "incrementality": FULL_DATASET, "timestamp": int(at)}
+            for name, value in header.items():
+                setattr(feed.header, name, value)
+            content.append(feed.SerializeToString())
+        yield polls[["path", "dt"]].assign(entities=0, content=content)
+
+
+def _encode_entities(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for trains in batches:
+        out = []
+        for (path, day), rows in trains.groupby(["path", "dt"], sort=False):
+            feed = feed_message()()
+            for row in rows[[w.source for w in WIRE]].to_dict("records"):
+                entity = feed.entity.add(id=_kept(row["rn"]) or "")
+                for wire in WIRE:
+                    value = wire.write(row[wire.source])
+                    if value is not None:
+                        _set_field(entity.vehicle, wire.path, value)
+            out.append((path, day, len(rows), feed.SerializeToString()))
+        yield pd.DataFrame(out, columns=["path", "dt", "entities", "content"])
+
+
+def write_feeds(chunks: DataFrame, root: str) -> DataFrame:
+    """Write each poll's chunks to `<root>/dt=<day>/<path>`, header first; lazy, one row per file.
+
+    The chunks of a poll come to one task in order, which passes them on to the file one
+    by one. A file gets its name once it is complete; a poll of which a part was
+    written is still pending.
+    """
+    ship_package(chunks.sparkSession)
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, base = open_folder(root)
-        for batch in batches:
-            paths = []
-            for row in batch.itertuples(index=False):
-                folder = f"{base}/dt={row.dt}"
-                target.create_dir(folder, recursive=True)
-                # Readers never see half a file: it gets its name once complete.
-                with target.open_output_stream(f"{folder}/.{row.path}.part") as out:
-                    out.write(row.content)
-                target.move(f"{folder}/.{row.path}.part", f"{folder}/{row.path}")
-                paths.append(f"{folder}/{row.path}")
-            yield pd.DataFrame({"path": paths, "entities": batch["entities"]})
-
-    return feeds.mapInPandas(write, "path string, entities int")
+        rows = (row for batch in batches for row in batch.itertuples(index=False))
+        for (day, path), parts in itertools.groupby(rows, key=lambda row: (row.dt, row.path)):
+            folder = f"{base}/dt={day}"
+            target.create_dir(folder, recursive=True)
+            unfinished, entities = f"{folder}/.{path}.{uuid.uuid4().hex}.part", 0
+            with target.open_output_stream(unfinished) as out:
+                for part in parts:
+                    out.write(part.content)
+                    entities += part.entities
+            target.move(unfinished, f"{folder}/{path}")
+            yield pd.DataFrame({"path": [f"{folder}/{path}"], "entities": [entities]})
+
+    header_first = chunks.repartition("dt", "path").sortWithinPartitions("dt", "path", F.col("entities") > 0)
+    return header_first.mapInPandas(write, "path string, entities int")
 
 
 # A poll's time stands in its file's (or folder's) name.
@@ -263,7 +291,7 @@ def pending_polls(spark: SparkSession, poll_root: str, feed_root: str) -> DataFr
 
 
 def backfill(spark: SparkSession, poll_root: str, feed_root: str) -> DataFrame:
-    """Feed files for every landed poll that lacks one; a second run finds none."""
+    """Chunks of a feed file for every landed poll that lacks one; a second run finds none."""
     polls = pending_polls(spark, poll_root, feed_root)
     files = spark.read.schema(BRONZE["train_positions"]).option("recursiveFileLookup", True).parquet(poll_root)
     rows = files.withColumn("feed_ts", _poll_time(F.col("_metadata.file_path")))

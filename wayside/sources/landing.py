@@ -1,11 +1,11 @@
-"""Reading what has landed: typed scans, the newest snapshot, the newest file."""
+"""Reading what has landed: typed scans, the newest snapshot, the newest poll."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wayside.schemas import struct
+from wayside.storage import open_folder
 
 
 def typed_scan(spark: SparkSession, root: str, ddl: str) -> DataFrame:
@@ -13,31 +13,24 @@ def typed_scan(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     return spark.read.schema(struct(ddl)).parquet(root)
 
 
-def _listed(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of the Parquet files below a root; names only, no file is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    try:
-        return files.option("recursiveFileLookup", True).load(root).select("path")
-    except AnalysisException as missing:
-        raise LookupError(f"nothing landed under {root}") from missing
+def _newest_folder(root: str) -> tuple[str, str]:
+    """Name and path of the lexically newest folder in another; lists that one level only."""
+    from pyarrow import fs
+
+    files, path = open_folder(root)
+    found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    names = [f.base_name for f in found if f.type == fs.FileType.Directory and not f.base_name.startswith(("_", "."))]
+    if not names:
+        raise LookupError(f"nothing landed under {root}")
+    return max(names), f"{root.rstrip('/')}/{max(names)}"
 
 
 def newest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest `dt=` snapshot only; an error if there is none.
-
-    The day comes from the listing, so the filter on it is a constant and older
-    snapshots are neither planned nor read.
-    """
-    days = _listed(spark, root).select(F.regexp_extract("path", r"/dt=([^/]+)/", 1).alias("dt"))
-    newest = days.agg(F.max("dt")).first()[0]
-    if not newest:
-        raise LookupError(f"no snapshot under {root}")
-    return spark.read.parquet(root).where(F.col("dt") == F.lit(newest).cast("date")).drop("dt")
-
-
-def newest_file(spark: SparkSession, root: str, ddl: str) -> DataFrame:
-    """Rows of the lexically newest file below a root."""
-    newest = _listed(spark, root).agg(F.max("path")).first()[0]
-    if newest is None:
-        raise LookupError(f"nothing landed under {root}")
-    return spark.read.schema(struct(ddl)).option("basePath", root).parquet(newest)
+    """Rows of the newest `dt=` snapshot only, with its own columns; an error if there is none."""
+    return spark.read.parquet(_newest_folder(root)[1])
+
+
+def newest_poll(spark: SparkSession, root: str, ddl: str) -> DataFrame:
+    """All rows of the poll landed last: every file of the newest folder of the newest day."""
+    _, day = _newest_folder(root)
+    return spark.read.schema(struct(ddl)).parquet(_newest_folder(day)[1])

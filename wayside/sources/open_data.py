@@ -8,9 +8,8 @@ from pyspark.sql.types import StructType
 from wayside.schemas import BRONZE, struct
 from wayside.storage import counted
 
-# Page size, default cap and start of the loaded slice.
+# Page size and start of the loaded slice.
 PAGE_ROWS = 50_000
-MAX_ROWS = 2_000_000
 SINCE = "2018-01-01"
 
 
@@ -30,46 +29,13 @@ def scan_congestion(spark: SparkSession, path: str, ingested_at: Column) -> Data
     return scan(spark, path, ingested_at, BRONZE["congestion"])
 
 
-def congestion_slice(
-    records: DataFrame, since: str | None = SINCE, max_rows: int | None = MAX_ROWS
-) -> DataFrame:
-    """Observations from a start date on, the oldest up to the load's cap.
+def congestion_slice(records: DataFrame, since: str | None = SINCE) -> DataFrame:
+    """Observations from a start date on, however many.
 
-    ISO text orders like time, so the comparisons stay on the raw column and can
-    reach a Parquet scan. `max_rows=None` loads everything.
-
-    A cap of millions is too much for a top-k plan, whose every task would send
-    that many rows to a single one. Instead two counts, per day and then within
-    one day, find the time up to which all rows fit; only that last time's rows
-    are limited.
-    """
-    if since is not None:
-        records = records.where(F.col("time") >= since)
-    if max_rows is None:
-        return records
-    day = F.substring("time", 1, len("2018-01-01"))
-    last_day, left = _last_fitting(records, day, max_rows)
-    if last_day is None:
-        return records
-    last_time, left = _last_fitting(records.where(day == last_day), F.col("time"), left)
-    if last_time is None:
-        return records.where(day <= last_day)
-    return records.where(F.col("time") < last_time).unionByName(
-        records.where(F.col("time") == last_time).limit(left)
-    )
-
-
-def _last_fitting(records: DataFrame, step: Column, room: int) -> tuple[str | None, int]:
-    """The step at which the rows stop fitting, and the room left for its rows.
-
-    The driver reads one count per step: per day, or per time of a single day.
+    ISO text orders like time, so the comparison stays on the raw column and can reach a
+    Parquet scan.
     """
-    steps = records.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy("step")
-    for row in steps.toLocalIterator():
-        if row["n"] > room:
-            return row["step"], room
-        room -= row["n"]
-    return None, room
+    return records if since is None else records.where(F.col("time") >= since)
 
 
 def land_pages(rows: DataFrame, path: str) -> int:

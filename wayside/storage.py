@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 from collections.abc import Sequence
 
@@ -13,22 +13,24 @@ from pyspark.sql.types import StructType
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's spark.checkpoint.dir.
 
-    Only a local session without that setting gets a folder of its own.
+    Without that setting it lies below the warehouse, which all share as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="wayside-")
-        spark.conf.set("spark.checkpoint.dir", named)
+    named = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{named.rstrip('/')}/wayside/{spark.sparkContext.applicationId}"
 
 
+#: What other readers call the schemes that Hadoop names its own way.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def open_folder(root: str):
     """File system and path of a folder, for the few files Spark has no writer for."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+    scheme, apart, rest = root.partition(":/")
+    if not apart:
+        return fs.LocalFileSystem(), os.path.abspath(root)
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:/{rest}")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
