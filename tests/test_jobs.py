@@ -105,3 +105,23 @@ def test_live_tables(spark, bronze, tmp_path, rows):
     assert rows(positions.fleet(live), "vehicle_id") == [("0",), ("1",)]
     assert (live.read("accepted").count(), live.read("quarantine").count()) == (4, 1)
     assert live.read("checks").agg(F.count("*")).first()[0] == 7
+
+
+def test_landing_from_the_command_line_records_its_load(spark, tmp_path, rows):
+    root = str(tmp_path / "bronze")
+    for minute in ("00", "02"):
+        source = _poll(tmp_path / f"b{minute}", _vehicles(41.9, 41.8))
+        jobs.main(["land", "--feed", "bus", "--source", source, "--at", f"2024-06-01T12:{minute}:00", "--bronze", root])
+    store = TableStore(spark, root)
+    assert store.read(jobs.BUS).count() == 4
+    assert rows(store.read("load_metrics"), "feed", "row_count") == [("bus", 2), ("bus", 2)]
+
+
+def test_a_failed_rebuild_leaves_the_last_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert store.rebuild("t", spark.range(5)) == 5
+    with pytest.raises(Exception, match="lost"):
+        store.rebuild("t", spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id")))
+    assert store.read("t").count() == 5
+    assert store.rebuild("t", store.read("t").where("id > 2")) == 2
+    assert store.read("t").count() == 2

@@ -164,18 +164,18 @@ def busiest_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def route_service_levels(trips: DataFrame, stop_times: DataFrame, routes: DataFrame) -> DataFrame:
-    """Scheduled trips, service patterns, shapes and stop events per route."""
+    """Scheduled trips, service patterns, shapes and stop events per route.
+
+    Distinct values are counted on rows already reduced to one for each trip, and to one
+    for each pattern and shape, so that no count multiplies the trips.
+    """
     events = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("_events"))
-    levels = (
-        trips.join(events, "trip_id", "left")
-        .groupBy("route_id")
-        .agg(
-            F.countDistinct("trip_id").alias("scheduled_trips"),
-            F.countDistinct("service_id").alias("service_patterns"),
-            F.countDistinct("shape_id").alias("shapes"),
-            F.sum(F.coalesce("_events", F.lit(0))).alias("_events"),
-        )
+    each = trips.join(events, "trip_id", "left").groupBy("route_id", "trip_id").agg(F.sum(F.coalesce("_events", F.lit(0))).alias("_events"))
+    counted = each.groupBy("route_id").agg(F.count("trip_id").alias("scheduled_trips"), F.sum("_events").alias("_events"))
+    kinds = trips.select("route_id", "service_id", "shape_id").distinct().groupBy(F.col("route_id").alias("_of")).agg(
+        F.countDistinct("service_id").alias("service_patterns"), F.countDistinct("shape_id").alias("shapes")
     )
+    levels = counted.join(kinds, F.col("route_id").eqNullSafe(F.col("_of"))).drop("_of")
     names = routes.groupBy("route_id", "route_long_name").agg(F.count(F.lit(1)).alias("_listed"))
     return (
         levels.join(names, "route_id", "left")

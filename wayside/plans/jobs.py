@@ -86,6 +86,22 @@ def land_weather(
     return bronze.rebuild(f"{WEATHER}/load={first:%Y%m%d}_{last:%Y%m%d}", days)
 
 
+def land(spark: SparkSession, feed: str, source: str, bronze: TableStore, at: dt.datetime, days: list[dt.date]) -> DataFrame:
+    """Land one feed and record its load: feed, rows, time; a timetable set gives a row for each table."""
+    if feed == "static":
+        loads = [(f"static/{r['table_name']}", r["row_count"]) for r in land_static(spark, source, bronze, at.date(), at).collect()]
+    elif feed == "weather":
+        loads = [(feed, land_weather(spark, source, bronze, *days, at))]
+    else:
+        loads = [(feed, LANDINGS[feed](spark, source, bronze, at))]
+    metrics = spark.createDataFrame(loads, "feed string, row_count bigint").withColumn("loaded_at", _stamp(at))
+    bronze.append("load_metrics", metrics.withColumn("dt", F.lit(at.date())))
+    return metrics
+
+
+LANDINGS = {"bus": land_bus, "trains": land_trains, "congestion": land_congestion, "traffic_counts": land_traffic_counts}
+
+
 # --- building --------------------------------------------------------------------
 
 
@@ -165,14 +181,20 @@ def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cade
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["build", "export", "backfill", "stream"])
+    parser.add_argument("job", choices=["land", "build", "export", "backfill", "stream"])
+    parser.add_argument("--feed", choices=["static", "weather", *LANDINGS], help="what to land")
+    parser.add_argument("--source", help="folder of the landed response files")
+    parser.add_argument("--at", type=dt.datetime.fromisoformat, help="time of the poll or load, now if left out")
+    parser.add_argument("--days", nargs=2, type=dt.date.fromisoformat, default=[], help="first and last day of a weather load")
     parser.add_argument("--bronze", help="root of the landed feeds")
     parser.add_argument("--lake", help="root of the built tables")
     parser.add_argument("--out", help="root of the exported files or of the live tables")
     args = parser.parse_args(argv)
     spark = cluster_session(f"wayside-{args.job}")
-    store = {name: TableStore(spark, root) for name, root in vars(args).items() if name != "job" and root}
-    if args.job == "build":
+    store = {name: TableStore(spark, getattr(args, name)) for name in ("bronze", "lake", "out") if getattr(args, name)}
+    if args.job == "land":
+        land(spark, args.feed, args.source, store["bronze"], args.at or dt.datetime.now().replace(microsecond=0), args.days).show(truncate=False)
+    elif args.job == "build":
         build(spark, store["bronze"], store["lake"])
     elif args.job == "export":
         sinks.export_marts(open_lake(store["lake"]), store["out"])

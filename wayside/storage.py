@@ -75,7 +75,7 @@ class TableStore:
         return reader.parquet(self.path(name))
 
     def rebuild(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Replace the whole table; gives the row count of the same pass."""
+        """Replace the whole table once the new one is complete; gives the row count of the same pass."""
         return self._write(name, df, "overwrite", partition_by, "static")
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ("dt",)) -> int:
@@ -90,8 +90,29 @@ class TableStore:
         # day few files and splits a day that holds a third of the rows. Other tables
         # keep the partitions adaptive execution sized, and their sort order.
         frame, seen = counted(df.hint("rebalance", *partition_by) if partition_by else df)
-        writer = frame.write.mode(mode).option("partitionOverwriteMode", overwrite)
+        writer = frame.write.option("partitionOverwriteMode", overwrite)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name))
+        if (mode, overwrite) == ("overwrite", "static"):
+            # The old table stays until the new one is complete.
+            staged = f"{self.root}/_staged-{uuid.uuid4().hex}"
+            writer.parquet(staged)
+            _swap(self.spark, staged, self.path(name))
+        else:
+            writer.mode(mode).parquet(self.path(name))
         return seen.get["rows"]
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in another one's place."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    source, target, old = hadoop(staged), hadoop(path), hadoop(f"{staged}-replaced")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if files.exists(target):
+        files.rename(target, old)
+    if not files.rename(source, target):
+        files.rename(old, target)
+        raise OSError(f"{staged} could not be moved to {path}")
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
