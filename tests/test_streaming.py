@@ -96,6 +96,17 @@ def test_repeated_batch_changes_nothing(spark, folders, rows):
     assert rows(positions.fleet(store), "vehicle_id") == [("1",), ("2",)]
 
 
+def test_a_new_checkpoint_goes_on_from_the_fleet(spark, folders, rows):
+    """Batch numbers start at nothing again; the newest reports stay."""
+    root, store, _ = folders
+    store.spark = spark
+    for minute in (10, 30, 20):
+        frame = spark.createDataFrame([_report("1", minute)], SILVER["silver_vehicle_positions"])
+        positions.latest_fleet(store)(frame, 0)
+    newest = positions.fleet(store).collect()
+    assert [(r["vehicle_id"], r["report_ts"]) for r in newest] == [("1", T0 + dt.timedelta(minutes=30))]
+
+
 def test_gate_quarantines_rows(spark, folders, rows):
     root, store, _ = folders
     checks = [quality.Expectation(quality.NOT_NULL, "vehicle_id"), quality.Expectation(quality.BETWEEN, "lat", 41, 43)]

@@ -74,6 +74,10 @@ class TableStore:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(name))
 
+    def exists(self, name: str) -> bool:
+        files, path = _hadoop(self.spark, self.path(name))
+        return files.exists(path)
+
     def rebuild(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Replace the whole table once the new one is complete; gives the row count of the same pass."""
         return self._write(name, df, "overwrite", partition_by, "static")
@@ -103,11 +107,16 @@ class TableStore:
         return seen.get["rows"]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system and path object by which Spark itself reaches a path."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished folder in another one's place."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    source, target, old = hadoop(staged), hadoop(path), hadoop(f"{staged}-replaced")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, target = _hadoop(spark, path)
+    source, old = (_hadoop(spark, p)[1] for p in (staged, f"{staged}-replaced"))
     files.mkdirs(target.getParent())
     if files.exists(target):
         files.rename(target, old)
