@@ -16,6 +16,7 @@ import contextlib
 import json
 import os
 import sys
+import tempfile
 import time
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -62,7 +63,8 @@ def main() -> None:
     from wayside.session import local_session
     from wayside.storage import TableStore, fresh_folder
 
-    spark = local_session(CPUS, "bench", **{"spark.sql.shuffle.partitions": CPUS})
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(CPUS, "bench", **{"spark.sql.shuffle.partitions": CPUS, "spark.checkpoint.dir": shared})
     landed = land(spark, Landed(spark, SF_DIR))
     timings: dict[str, float] = {}
 
