@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from registry import raw_files
 from wayside.operators import quality, sinks
 from wayside.plans import jobs, lakehouse
+from wayside.plans.rules import ASSERTIONS, SUITES
 from wayside.storage import TableStore
 from wayside.streaming import positions
 
@@ -68,6 +69,8 @@ def test_build_and_export(spark, bronze, tmp_path, rows):
     assert counts["silver_weather"] == 40 and counts["silver_stop_times"] == 6000
     assert lake.read("load_metrics").count() == len(counts)
     assert lake.read("check_results").count() == 91
+    declared = len(ASSERTIONS) + len(SUITES["silver_congestion"]) + len(SUITES["silver_weather"])
+    assert lake.read("declared_checks").count() == declared
     exported = sinks.export_marts(jobs.open_lake(lake), TableStore(spark, str(tmp_path / "out")))
     assert exported["fleet_latest"] == 6 and sorted(exported) == sorted(p.name for p in (tmp_path / "out").iterdir())
     for name in exported:

@@ -128,18 +128,37 @@ def gate_landed(spark: SparkSession, bronze: TableStore) -> None:
         quality.enforce(quality.evaluate(suite, newest, SUITES[suite]), suite, "success")
 
 
-def gate_table(name: str, table: DataFrame) -> None:
-    """Blocking assertions of a table just written; its readers wait for them."""
-    for assertion in ASSERTIONS:
-        if assertion.blocking and assertion.table == name:
-            quality.enforce(assertion.run(name, table), assertion.name)
+def check_table(name: str, table: DataFrame) -> list[tuple[str, str, str | None, bool]]:
+    """All declared assertions and suites of a table just written, as result rows.
+
+    A failed blocking assertion is raised, so that the table's readers are not built.
+    """
+    rows = []
+    for assertion in (a for a in ASSERTIONS if a.table == name):
+        results = assertion.run(name, table)
+        (found,) = results.collect()
+        rows.append((name, assertion.name, None, bool(found["passed"])))
+        if assertion.blocking and not found["passed"]:
+            raise quality.BlockedLoad(f"{assertion.name}: {found.asDict()}")
+    if name in SUITES:
+        rows += [(name, r["expectation"], r["column_name"], bool(r["success"])) for r in quality.evaluate(name, table, SUITES[name]).collect()]
+    return rows
 
 
 def build(spark: SparkSession, bronze: TableStore, lake: TableStore) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Gate the feeds, write the lake, and record loads and check results as tables."""
+    """Gate the feeds, write the lake, and record loads and check results as tables.
+
+    Assertions and suites run as soon as their table is written (`declared_checks`), the
+    table rules once all are (`check_results`).
+    """
     gate_landed(spark, bronze)
-    tables, rows = lakehouse.build(spark, open_bronze(spark, bronze), lake, gate=gate_table)
+    checked: list[tuple] = []
+    tables, rows = lakehouse.build(
+        spark, open_bronze(spark, bronze), lake, gate=lambda name, table: checked.extend(check_table(name, table))
+    )
     lake.rebuild("load_metrics", sinks.load_metrics(spark, rows, lake))
+    ddl = "table_name string, check_name string, column_name string, passed boolean"
+    lake.rebuild("declared_checks", spark.createDataFrame(sorted(checked, key=str), ddl))
     lake.rebuild("check_results", quality.run_checks(spark, TABLE_RULES, tables))
     return tables, rows
 
