@@ -19,7 +19,7 @@ from wayside.llm.batches import Words, by_batch, passes
 #: Labelled documents that training sees at most; the only bound on what is learned from.
 SAMPLE = 4000
 BUCKETS = 1 << 17
-LENGTH, EPOCHS, RATE = 12, 8, 0.5
+LENGTH, EPOCHS, RATE = 8, 5, 0.5
 SHORTEST, LONGEST, REACH = 3, 5, 3
 #: The score from which a document is accepted.
 THRESHOLD = 0.7
@@ -77,21 +77,23 @@ def _bags(column) -> list[tuple[np.ndarray, np.ndarray]]:
 def _train(bags: list, labels: np.ndarray) -> np.ndarray:
     """Stochastic gradient descent; one number for each bucket and the constant."""
     draw = np.random.default_rng(SEED)
-    vectors = draw.uniform(-1 / LENGTH, 1 / LENGTH, (BUCKETS + 1, LENGTH))
-    output = np.zeros((2, LENGTH))
+    vectors = draw.uniform(-1 / LENGTH, 1 / LENGTH, (BUCKETS + 1, LENGTH)).astype(np.float32)
+    output = np.zeros((2, LENGTH), np.float32)
+    bags = [(buckets, weight.astype(np.float32)) for buckets, weight in bags]
     steps, step = EPOCHS * len(bags), 0
     for _ in range(EPOCHS):
         for i in draw.permutation(len(bags)):
             buckets, weight = bags[i]
-            hidden = weight @ vectors[buckets]
+            held = vectors[buckets]
+            hidden = weight @ held
             logits = output @ hidden
             share = np.exp(logits - logits.max())
             error = share / share.sum()
             error[labels[i]] -= 1
-            rate = RATE * (1 - step / steps)
-            back = error @ output
+            rate = np.float32(RATE * (1 - step / steps))
+            back = error @ output * (rate * np.float32(len(buckets) ** 0.5))
             output -= rate * error[:, None] * hidden
-            vectors[buckets] -= rate * len(buckets) ** 0.5 * weight[:, None] * back
+            vectors[buckets] = held - weight[:, None] * back
             step += 1
     return (vectors @ (output[1] - output[0])).astype(np.float32)
 
