@@ -163,6 +163,28 @@ def test_a_passage_in_most_documents_is_not_lost(docs, prose, spark):
     assert {r["doc_id"] for r in leaks.leaks(docs(*rows), tests).collect()} == set(range(50))
 
 
+def test_copies_with_few_intact_trigrams_against_brute_force(docs, prose, spark, monkeypatch):
+    """A lone copy with every 4th or 5th word changed, and a part of one; with exact copies elsewhere and without."""
+    monkeypatch.setattr(leaks, "FREQUENT", 3, raising=False)  # the exact copies' trigrams are dealt to lanes
+    items, rows = [], []
+    for at, n in enumerate((40, 50, 59)):
+        for i, every in enumerate((4, 5, None)):
+            item = prose(n, 100 * at + i).split()
+            copy = [f"new{x}" if x % every == every - 1 else w for x, w in enumerate(item)] if every else item[-28:]
+            items.append((len(items), " ".join(item)))
+            rows.append((len(rows), f"{prose(30, 7)} {' '.join(copy)} {prose(30, 8)}"))
+    rows += [(100 + i, f"{prose(5, i)} {items[k][1]}") for i, k in enumerate([0, 0, 0, 4, 4, 4, 8, 8, 8])]
+    wanted = {}
+    for d, text in rows:
+        for i, item in items:
+            score = plain_align(text.lower().split(), item.lower().split())
+            if score >= min(leaks.SHARE * len(item.split()), leaks.WORDS):
+                wanted[d, i] = score / len(item.split())
+    assert {(i, i) for i in range(9)} <= set(wanted)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in leaks.leaks(docs(*rows), tests).collect()} == wanted
+
+
 def test_leaks_query_against_contained_items(spark):
     found = {(r["doc_id"], r["item_id"]) for r in queries.leaks(spark, DATA).collect()}
     items = spark.read.parquet(f"{DATA}/benchmark.parquet").collect()

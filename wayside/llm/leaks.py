@@ -1,23 +1,26 @@
 """Benchmark passages in documents: rare n-gram seeds, then local alignment.
 
 The document frequency of every n-gram of the test items is counted over all documents;
-an item's seeds are its rarest n-grams. Passages of documents around seeds are joined to
-the items that have the seed, and a Smith-Waterman alignment of their words scores the
-pair, so that edited copies are found as well as exact ones.
+an item's seeds are all its n-grams that occur, as an edited copy may hold any of them,
+and the joins of frequent ones are dealt out. Passages of documents around seeds are
+joined to the items that have the seed, and a Smith-Waterman alignment of their words
+scores the pair, so that edited copies are found as well as exact ones.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wayside.llm.batches import Words, by_batch, passes, run_hashes, signed, texts
 from wayside.llm.filters import bitmap, passing
 from wayside.storage import settle
 
-#: Words of a seed, and the share of an item's n-grams, the rarest, that are seeds.
-N, RAREST = 3, 0.5
+#: Words of a seed.
+N = 3
+#: Documents from which on a seed is frequent, and the lanes that its passages are dealt to.
+FREQUENT, LANES = 10_000, 64
 #: Words kept on both sides of a seed; seeds closer than that share a passage.
 PAD = 64
 #: Alignment scores of a word: equal, different, left out.
@@ -63,7 +66,7 @@ def _item_grams(items: DataFrame) -> DataFrame:
 
 
 def _frequencies(rows: DataFrame, grams: DataFrame) -> DataFrame:
-    """Documents that have each n-gram of the items: a row for each n-gram and batch is shuffled."""
+    """Documents that have each n-gram of the items, of those that occur: a row for each n-gram and batch is shuffled."""
     held = rows.sparkSession.sparkContext.broadcast(bitmap(grams, F.col("gram")))
 
     def work(batches):
@@ -78,11 +81,25 @@ def _frequencies(rows: DataFrame, grams: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["gram", "n"])
 
     counted = by_batch(rows, work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return grams.select("gram").distinct().join(counted, "gram", "left").select("gram", F.coalesce("n", F.lit(0)).alias("n"))
+    return grams.select("gram").distinct().join(counted, "gram").select("gram", "n")
 
 
-def _passages(rows: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Words around seeds: doc_id, first word, packed word hashes, and the seeds in them."""
+def _lanes(seeds: DataFrame, frequent) -> DataFrame:
+    """(item_id, gram, lane): frequent seeds in every lane, the others in the first."""
+
+    def work(batches):
+        for batch in batches:
+            lanes = np.where(passing(frequent.value, batch.column(1).to_numpy()), LANES, 1)
+            at = np.repeat(np.arange(len(lanes)), lanes)
+            lane = np.arange(len(at)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+            items, grams = (c.take(pa.array(at)) for c in batch.columns[:2])
+            yield pa.RecordBatch.from_arrays([items, grams, pa.array(lane)], ["item_id", "gram", "lane"])
+
+    return by_batch(seeds, work, "item_id long, gram long, lane long")
+
+
+def _passages(rows: DataFrame, seeds: DataFrame, frequent) -> DataFrame:
+    """Words around seeds: doc_id, first word, packed word hashes, the seeds in them, and each seed's lane."""
     held = rows.sparkSession.sparkContext.broadcast(bitmap(seeds, F.col("gram")))
 
     def work(batches):
@@ -99,14 +116,20 @@ def _passages(rows: DataFrame, seeds: DataFrame) -> DataFrame:
                 for a, b in zip(cut[:-1], cut[1:]):
                     first, end = words.first[of[a]], words.first[of[a] + 1]
                     begin, stop = max(first, at[a] - PAD), min(end, at[b - 1] + N + PAD)
-                    out.append((ids[row + of[a]], int(begin - first), words.hashes[begin:stop].tobytes(), np.unique(hashes[a:b])))
-            doc, start, packed, grams = zip(*out) if out else ((),) * 4
+                    grams = np.unique(hashes[a:b])
+                    lane = (ids[row + of[a]] + int(begin - first)) % LANES
+                    lanes = np.where(passing(frequent.value, grams), lane, 0)
+                    out.append((ids[row + of[a]], int(begin - first), words.hashes[begin:stop].tobytes(), grams, lanes))
+            doc, start, packed, grams, lanes = zip(*out) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(packed, pa.binary()), pa.array(list(grams), pa.list_(pa.int64()))],
-                ["doc_id", "start", "passage", "grams"],
+                [
+                    pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(packed, pa.binary()),
+                    pa.array(list(grams), pa.list_(pa.int64())), pa.array(list(lanes), pa.list_(pa.int64())),
+                ],
+                ["doc_id", "start", "passage", "grams", "lanes"],
             )
 
-    return by_batch(rows, work, "doc_id long, start long, passage binary, grams array<long>")
+    return by_batch(rows, work, "doc_id long, start long, passage binary, grams array<long>, lanes array<long>")
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int]:
@@ -129,8 +152,12 @@ def _aligned(batches):
         out = []
         for doc, start, packed, item, words in zip(*(c.to_pylist() for c in batch.columns)):
             a, b = np.frombuffer(packed, np.uint64), np.frombuffer(words, np.uint64)
+            least = min(SHARE * len(b), WORDS)
+            # No score is above the number of the item's words that the passage has at all.
+            if np.isin(b, a).sum() < least:
+                continue
             score, end, end_b = align(a, b)
-            if score >= min(SHARE * len(b), WORDS):
+            if score >= least:
                 _, back, _ = align(a[:end][::-1], b[:end_b][::-1])
                 out.append((doc, item, score / len(b), start + end - back, start + end))
         columns = zip(*out) if out else ((),) * 5
@@ -148,8 +175,11 @@ def leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null or empty texts hold nothing, as do items of fewer than three words or without an id,
     and documents without an id. Rows that repeat an id are one document: the best passage
-    of all its texts. Ties of n-gram frequency go by the n-gram's hash, ties between passages
-    to the first. Empty tables give no rows; other columns are left behind.
+    of all its texts. Ties between passages go to the first. Empty tables give no rows; other
+    columns are left behind.
+
+    A copy is aligned if it holds any three words of its item in a row, however frequent
+    they are; one that holds nowhere three is not.
 
     Neither side is broadcast; documents' n-grams pass a filter of fixed size, and passages,
     seeds and items meet in joins that Spark plans by their sizes.
@@ -157,12 +187,13 @@ def leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
     rows = texts(df.where(F.col(id_col).isNotNull()), id_col, text_col)
     tests = settle(_items(texts(items, item_col, text_col)), "items")
     grams = settle(_item_grams(tests), "item-grams")
-    known = grams.join(_frequencies(rows, grams), "gram")
-    order = Window.partitionBy("item_id").orderBy("n", F.xxhash64("gram"))
-    ranked = known.withColumn("r", F.row_number().over(order)).withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
-    seeds = settle(ranked.where(F.col("r") <= F.ceil(F.col("of") * RAREST)).select("item_id", "gram"), "seeds")
-    passages = settle(_passages(rows, seeds).withColumn("id", F.xxhash64("doc_id", "start", "passage")), "passages")
-    met = passages.select("id", F.explode("grams").alias("gram")).join(seeds, "gram").select("id", "item_id").distinct()
+    known = settle(_frequencies(rows, grams), "frequencies")
+    frequent = df.sparkSession.sparkContext.broadcast(bitmap(known.where(F.col("n") >= FREQUENT), F.col("gram")))
+    seeds = settle(grams.join(known, "gram").select("item_id", "gram"), "seeds")
+    passages = settle(_passages(rows, seeds, frequent).withColumn("id", F.xxhash64("doc_id", "start", "passage")), "passages")
+    each = passages.select("id", F.explode(F.arrays_zip("grams", "lanes")).alias("seed"))
+    each = each.select("id", F.col("seed.grams").alias("gram"), F.col("seed.lanes").alias("lane"))
+    met = each.join(_lanes(seeds, frequent), ["gram", "lane"]).select("id", "item_id").distinct()
     pairs = met.join(passages.select("id", "doc_id", "start", "passage"), "id").join(tests, "item_id")
     found = by_batch(
         pairs.select("doc_id", "start", "passage", "item_id", "words"), _aligned,
