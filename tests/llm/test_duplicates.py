@@ -82,6 +82,17 @@ def test_large_nodes_and_split_groups(docs, prose, monkeypatch):
     check(chosen_path.near_duplicates(docs(*rows), 3, 85).collect(), rows, 3, 85, 100)
 
 
+def test_pairs_inside_a_large_templated_group(docs, prose, monkeypatch):
+    """Pages of one template, too unlike to be linked, each with one near copy: no third document links the two."""
+    monkeypatch.setattr(chosen_path, "NODE", 8)
+    monkeypatch.setattr(chosen_path, "GROUP", 40)
+    monkeypatch.setattr(chosen_path, "SHARED", 1, raising=False)
+    draw, template = random.Random(4), prose(120, 3)
+    pages = [edited(template, draw, 4) for _ in range(120)]
+    rows = list(enumerate(pages + [edited(page, draw, 1) for page in pages]))
+    check(chosen_path.near_duplicates(docs(*rows), 3, 85).collect(), rows, 3, 85, 100)
+
+
 def test_near_duplicates_of_odd_rows(odd, docs):
     clash = odd.withColumn("component_id", F.lit("x")).withColumn("rep", F.lit(1))
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
