@@ -184,3 +184,31 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayside.llm import compact
 
     return compact.repeats(table(spark, sf_dir, "documents"))
+
+
+def _collocation_sql() -> str:
+    from wayside.llm import collocations
+
+    return collocations.collocations_sql()
+
+
+@_query("op13_stream_collocations", _collocation_sql())
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_trie_pair_spellings")
+def spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import spellings
+
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_zstd_novelty_secrets")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayside.llm import novelty
+
+    documents = table(spark, sf_dir, "documents")
+    return novelty.digests(novelty.spans(documents, novelty.identifiers(documents)))
