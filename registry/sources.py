@@ -171,6 +171,57 @@ def backfilled_feeds(spark, sf_dir):
     return written.select(name.alias("path"), F.to_date(F.regexp_extract("path", "dt=([^/]+)/", 1)).alias("dt"), "entities")
 
 
+def _one_poll(spark, sf_dir):
+    """All train reports as a single hot poll."""
+    return raw_files.train_rows(spark, sf_dir).withColumn("feed_ts", F.lit(raw_files.LOADED_AT).cast("timestamp_ntz"))
+
+
+@query("src_07_gtfs_rt_split_decode", compose(f"""
+SELECT * REPLACE (lat::FLOAT::DOUBLE AS lat, lon::FLOAT::DOUBLE AS lon) FROM x_decoded WHERE {IN_BOX}
+"""))
+def decoded_parts(spark, sf_dir):
+    """One feed file with every report, read in parts of 16 KB by a task for every 64 KB."""
+    root, rows = fresh_folder(spark, "feeds"), _one_poll(spark, sf_dir)
+    gtfs_rt.write_feeds(_feeds(spark, sf_dir, rows), root).agg(F.sum("entities")).collect()
+    return gtfs_rt.decode(gtfs_rt.read_feeds(spark, root, part=16 << 10), each=64 << 10)
+
+
+def _landed_chunks(spark, sf_dir, rows=None):
+    store = TableStore(spark, fresh_folder(spark, "chunks"))
+    gtfs_rt.land_feeds(store, "trains", _feeds(spark, sf_dir, rows))
+    return store
+
+
+@query("src_08_gtfs_rt_chunks", compose(f"""
+SELECT path, dt, entities, '2.0' AS version, 0 AS incrementality, epoch(dt)::BIGINT AS header_at FROM ({_FEED_FILES})
+"""))
+def chunked_feeds(spark, sf_dir):
+    """Polls as a table of chunks, landed twice; each has one header, read without its entities."""
+    store = _landed_chunks(spark, sf_dir)
+    gtfs_rt.land_feeds(store, "trains", _feeds(spark, sf_dir))
+    return gtfs_rt.headers(gtfs_rt.read_chunks(spark, store.path("trains")))
+
+
+@query("src_08_gtfs_rt_decode_chunks", compose(f"""
+SELECT * REPLACE (lat::FLOAT::DOUBLE AS lat, lon::FLOAT::DOUBLE AS lon) FROM x_decoded WHERE {IN_BOX}
+"""))
+def decoded_chunks(spark, sf_dir):
+    """One hot poll as chunks, decoded by as many tasks as it has files."""
+    store = _landed_chunks(spark, sf_dir, _one_poll(spark, sf_dir))
+    return gtfs_rt.decode(gtfs_rt.read_chunks(spark, store.path("trains")))
+
+
+@query("src_09_chunk_backfill", compose(f"SELECT path, dt, entities FROM ({_FEED_FILES})"))
+def backfilled_chunks(spark, sf_dir):
+    """Even days have their chunks; the backfill adds the odd ones and finds none the second time."""
+    polls, rows = raw_files.train_polls(spark, sf_dir), raw_files.train_rows(spark, sf_dir)
+    store = _landed_chunks(spark, sf_dir, rows.where(F.dayofmonth("feed_ts") % 2 == 0))
+    for _ in range(2):
+        gtfs_rt.land_feeds(store, "trains", gtfs_rt.backfill(spark, polls, store.path("trains")))
+    chunks = gtfs_rt.read_chunks(spark, store.path("trains"))
+    return chunks.groupBy("path", "dt").agg(F.sum("entities").cast("int").alias("entities"))
+
+
 _ROAD = compose(f"SELECT * REPLACE (TIMESTAMP '{raw_files.LOADED_AT}' AS _ingested_at) FROM x_congestion")
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import json
 import zipfile
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayside.schemas import BRONZE
-from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
+from wayside.sources import bus_feed, feed_parts, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
 from wayside.storage import TableStore
 
 AT = dt.datetime(2024, 6, 1, 12)
@@ -241,3 +242,119 @@ def test_backfill_is_idempotent(spark, tmp_path, rows):
     assert sorted(p.name for p in root.glob("dt=*/*.pb")) == ["trains_20240131T100000.pb", "trains_20240131T100200.pb"]
     assert gtfs_rt.backfill(spark, str(polls), str(root)).count() == 0
     assert rows(gtfs_rt.decode(gtfs_rt.read_feeds(spark, str(root))), "vehicle_id", "report_ts") == [("1", seen)]
+
+
+def _message(entities, **fields):
+    message = gtfs_rt.feed_message()()
+    message.header.gtfs_realtime_version = "2.0"
+    message.header.timestamp = 7
+    for i in range(entities):
+        message.entity.add(id=f"e{i}").vehicle.vehicle.id = "v" * (i % 5) + str(i)
+    return message.SerializeToString()
+
+
+def test_a_feed_is_cut_between_entities_at_any_byte():
+    """Blocks that end at every byte give the same fields, parts of every size the same entities in order."""
+    raw = _message(12)
+    whole = [e.vehicle.vehicle.id for e in gtfs_rt.feed_message().FromString(raw).entity]
+    fields = list(feed_parts.outer_fields(io.BytesIO(raw), len(raw)))
+    assert [f.number for f in fields] == [feed_parts.HEADER] + [feed_parts.ENTITY] * 12
+    for size in range(1, len(raw) + 2):
+        assert list(feed_parts.outer_fields(io.BytesIO(raw), len(raw), size)) == fields
+        cut = list(feed_parts.parts(io.BytesIO(raw), len(raw), size, block=3))
+        assert [cut[0][0], *[p[1] for p in cut]] == [0, *[p[0] for p in cut[1:]], len(raw)]
+        assert all(b - a <= size or b - a in [f.end - f.start for f in fields] for a, b, *_ in cut)
+        read = [gtfs_rt.feed_message().FromString(raw[a:b]) for a, b, *_ in cut]
+        assert [e.vehicle.vehicle.id for m in read for e in m.entity] == whole
+        assert [len(m.entity) for m in read] == [p[2] for p in cut] and b"".join(p[3] for p in cut) == raw[: fields[0].end]
+
+
+def test_a_torn_feed_is_an_error_at_every_byte():
+    raw = _message(3)
+    ends = {f.end for f in feed_parts.outer_fields(io.BytesIO(raw), len(raw))} | {0}
+    for size in range(len(raw)):
+        if size in ends:
+            assert sum(1 for _ in feed_parts.outer_fields(io.BytesIO(raw), size)) == sorted(ends).index(size)
+        else:
+            with pytest.raises(ValueError, match="ends inside"):
+                list(feed_parts.outer_fields(io.BytesIO(raw), size))
+
+
+def test_unknown_fields_are_passed_over(spark, tmp_path, rows):
+    """Numbers, fixed values and bytes of other fields between the entities, and an empty file."""
+    pieces = [_message(2), b"\x18\x96\x01", b"\x21" + b"\0" * 8, b"\x2d" + b"\0" * 4, b"\x32\x03abc", _message(1)]
+    (tmp_path / "a.pb").write_bytes(b"".join(pieces))
+    (tmp_path / "b.pb").write_bytes(b"")
+    feeds = gtfs_rt.read_feeds(spark, str(tmp_path), part=20)
+    assert rows(gtfs_rt.decode(feeds, each=30), "vehicle_id") == [("0",), ("0",), ("v1",)]
+    assert rows(gtfs_rt.headers(feeds).drop("path")) == [("2.0", 0, 7, 3)]
+    (tmp_path / "c.pb").write_bytes(_message(2)[:-1])
+    with pytest.raises(Exception, match="c.pb: the file ends inside a message"):
+        gtfs_rt.headers(gtfs_rt.read_feeds(spark, str(tmp_path))).collect()
+
+
+def test_a_hot_poll_is_read_by_many_tasks(spark, tmp_path, rows):
+    many = _many(spark, 3000)
+    gtfs_rt.write_feeds(gtfs_rt.encode(many, _polls(many)), str(tmp_path)).collect()
+    decoded = gtfs_rt.decode(gtfs_rt.read_feeds(spark, str(tmp_path), part=2_000), each=20_000)
+    tasks = decoded.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 5 and max(t["count"] for t in tasks) < 1000
+    assert rows(decoded.agg(F.count("vehicle_id"), F.countDistinct("vehicle_id"))) == [(3000, 3000)]
+
+
+def test_chunks_of_a_poll_go_to_many_files(spark, tmp_path, rows):
+    """A hot poll is split, has one header row, and landing it again replaces it."""
+    store = TableStore(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        for _ in range(2):
+            many = _many(spark, 4000)
+            gtfs_rt.land_feeds(store, "trains", gtfs_rt.encode(many, _polls(many)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list(tmp_path.glob("trains/dt=2024-01-31/path=trains_20240131T101500.pb/*.parquet"))) > 2
+    chunks = gtfs_rt.read_chunks(spark, store.path("trains"))
+    assert chunks.where("entities = 0").count() == 1 and chunks.agg(F.max("entities")).first()[0] <= gtfs_rt.CHUNK
+    assert rows(gtfs_rt.headers(chunks)) == [("trains_20240131T101500.pb", dt.date(2024, 1, 31), "2.0", 0, 1706696100, 4000)]
+    assert gtfs_rt.decode(chunks).agg(F.countDistinct("vehicle_id")).first()[0] == 4000
+
+
+def test_a_lost_task_leaves_no_part_of_a_poll(spark, tmp_path, rows):
+    polls = tmp_path / "polls"
+    seen = dt.datetime(2024, 1, 31, 10)
+    train = spark.createDataFrame(
+        [("1", "red", seen, 41.9, -87.6, 90, None, None, None, None, "30", None, True, False, None, seen)], BRONZE["train_positions"])
+    train.write.parquet(str(polls / "dt=2024-01-31" / "trains_20240131T100000.parquet"))
+    train.write.parquet(str(polls / "dt=2024-02-01" / "trains_20240201T100000.parquet"))
+    store = TableStore(spark, str(tmp_path / "out"))
+    chunks = gtfs_rt.backfill(spark, str(polls), store.path("trains"))
+    broken = chunks.withColumn("content", F.when(F.col("entities") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="lost"):
+        gtfs_rt.land_feeds(store, "trains", broken)
+    assert gtfs_rt.pending_polls(spark, str(polls), store.path("trains")).count() == 2
+    late = gtfs_rt.backfill(spark, str(polls), store.path("trains"), since=dt.date(2024, 2, 1))
+    gtfs_rt.land_feeds(store, "trains", late)
+    assert rows(gtfs_rt.pending_polls(spark, str(polls), store.path("trains"))) == [(seen,)]
+    for left in (2, 0):
+        assert gtfs_rt.land_feeds(store, "trains", gtfs_rt.backfill(spark, str(polls), store.path("trains"))) == left
+    assert gtfs_rt.read_chunks(spark, store.path("trains")).where("entities > 0").count() == 2
+
+
+def test_paths_without_a_scheme_lie_in_the_default_file_system(spark, tmp_path):
+    from wayside import storage
+
+    assert storage.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    with pytest.raises(ValueError, match="no file system"):
+        storage.open_folder(str(tmp_path))
+    conf, key = spark._jsc.hadoopConfiguration(), "fs.defaultFS"
+    before = conf.get(key)
+    conf.set(key, "viewfs://lake")
+    conf.set("fs.viewfs.mounttable.lake.link./in", f"file:{tmp_path}")
+    try:
+        assert storage.qualified(spark, "/in/a") == "viewfs://lake/in/a"
+        storage.make_folder(spark, "/in/a/dt=2024-01-01")
+        assert storage.folders(spark, "/in/a") == ["dt=2024-01-01"]
+    finally:
+        conf.set(key, before)
+    assert (tmp_path / "a" / "dt=2024-01-01").is_dir()

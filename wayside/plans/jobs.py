@@ -18,13 +18,13 @@ from wayside.plans.rules import ASSERTIONS, BLOCKING_SUITES, SUITES, TABLE_RULES
 from wayside.schemas import BRONZE
 from wayside.session import cluster_session
 from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
-from wayside.storage import TableStore, open_folder
+from wayside.storage import TableStore, make_folder
 from wayside.streaming import feeds, positions
 
 # Folders of the landed feeds, and the suite each newest poll must pass.
 BUS = "cta/gtfs_rt/vehicle_positions"
 TRAIN = "cta/train_tracker/positions"
-TRAIN_FEEDS = "cta/gtfs_rt/train_positions_pb"
+TRAIN_FEEDS = "cta/gtfs_rt/train_positions_pb"  # chunks of feed messages by day and poll
 STATIC = "cta/gtfs_static"
 CONGESTION = "socrata/congestion"
 TRAFFIC_COUNTS = "socrata/adt"
@@ -47,14 +47,13 @@ def land_bus(spark: SparkSession, responses: str, bronze: TableStore, at: dt.dat
 
 
 def land_trains(spark: SparkSession, responses: str, bronze: TableStore, at: dt.datetime) -> int:
-    """Write one poll's trains, and the same poll as feed files."""
+    """Write one poll's trains, and the same poll as chunks of its feed."""
     rows = train_feed.conform(train_feed.flatten(train_feed.read_responses(spark, responses), _stamp(at)))
     poll = f"{TRAIN}/dt={at:%Y-%m-%d}/trains_{at:%Y%m%dT%H%M%S}.parquet"
     count = bronze.rebuild(poll, rows)
     landed = bronze.read(poll, rows.schema).withColumn("feed_ts", _stamp(at))
     this_poll = spark.range(1).select(_stamp(at).alias("feed_ts"))
-    feed_files = gtfs_rt.write_feeds(gtfs_rt.encode(landed, this_poll), bronze.path(TRAIN_FEEDS))
-    feed_files.agg(F.sum("entities")).collect()
+    gtfs_rt.land_feeds(bronze, TRAIN_FEEDS, gtfs_rt.encode(landed, this_poll))
     return count
 
 
@@ -111,7 +110,7 @@ def open_bronze(spark: SparkSession, bronze: TableStore) -> dict[str, DataFrame]
     return {
         **static,
         "bus_positions": landing.typed_scan(spark, bronze.path(BUS), BRONZE["bus_positions"]).drop("dt", "poll"),
-        "decoded_trains": gtfs_rt.decode(gtfs_rt.read_feeds(spark, bronze.path(TRAIN_FEEDS))),
+        "decoded_trains": gtfs_rt.decode(gtfs_rt.read_chunks(spark, bronze.path(TRAIN_FEEDS))),
         "congestion": landing.typed_scan(
             spark, bronze.path(CONGESTION), BRONZE["congestion"] + ", _ingested_at timestamp_ntz"
         ),
@@ -177,8 +176,7 @@ def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cade
     landed, and then the fleet on what it accepted.
     """
     suite = "bronze_vehicle_positions"
-    files, accepted = open_folder(live.path("accepted"))
-    files.create_dir(accepted, recursive=True)
+    make_folder(spark, live.path("accepted"))
 
     def reports(root: str, folders: list[str]) -> DataFrame:
         return positions.positions_stream(spark, root, BRONZE["bus_positions"]).drop(*folders)
@@ -200,11 +198,11 @@ def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cade
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["land", "build", "export", "backfill", "stream"])
+    parser.add_argument("job", choices=["land", "build", "export", "export_feeds", "backfill", "stream"])
     parser.add_argument("--feed", choices=["static", "weather", *LANDINGS], help="what to land")
     parser.add_argument("--source", help="folder of the landed response files")
     parser.add_argument("--at", type=dt.datetime.fromisoformat, help="time of the poll or load, now if left out")
-    parser.add_argument("--days", nargs=2, type=dt.date.fromisoformat, default=[], help="first and last day of a weather load")
+    parser.add_argument("--days", nargs=2, type=dt.date.fromisoformat, default=[], help="first and last day of a weather load or of exported feeds; a backfill looks from the first on")
     parser.add_argument("--bronze", help="root of the landed feeds")
     parser.add_argument("--lake", help="root of the built tables")
     parser.add_argument("--out", help="root of the exported files or of the live tables")
@@ -217,9 +215,14 @@ def main(argv: list[str] | None = None) -> None:
         build(spark, store["bronze"], store["lake"])
     elif args.job == "export":
         sinks.export_marts(open_lake(store["lake"]), store["out"])
+    elif args.job == "export_feeds":
+        chunks = gtfs_rt.read_chunks(spark, store["bronze"].path(TRAIN_FEEDS))
+        if args.days:
+            chunks = chunks.where(F.col("dt").between(*args.days))
+        gtfs_rt.write_feeds(chunks, args.out).agg(F.sum("entities")).collect()
     elif args.job == "backfill":
         polls, root = store["bronze"].path(TRAIN), store["bronze"].path(TRAIN_FEEDS)
-        gtfs_rt.write_feeds(gtfs_rt.backfill(spark, polls, root), root).agg(F.sum("entities")).collect()
+        gtfs_rt.land_feeds(store["bronze"], TRAIN_FEEDS, gtfs_rt.backfill(spark, polls, root, *args.days[:1]))
     else:
         stream_fleet(spark, store["bronze"], store["out"])
 

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from wayside.storage import open_folder, shared_root
+from wayside.storage import qualified, shared_root, write_bytes
 
 _PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
@@ -27,10 +27,7 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(_PACKAGE.rglob("*.py")):
             out.write(source, source.relative_to(_PACKAGE.parent))
-    root = shared_root(spark)
-    files, folder = open_folder(root)
-    files.create_dir(folder, recursive=True)
-    with files.open_output_stream(f"{folder}/wayside.zip") as out:
-        out.write(archive.getvalue())
-    context.addPyFile(f"{root}/wayside.zip")
+    target = f"{qualified(spark, shared_root(spark))}/wayside.zip"
+    write_bytes(spark, target, archive.getvalue())
+    context.addPyFile(target)
     _SHIPPED.add(context.applicationId)

@@ -6,6 +6,7 @@ fields used here are declared, unknown ones are skipped by the decoder.
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wayside.functions.boxes import in_box
 from wayside.schemas import BRONZE
 from wayside.shipping import ship_package
-from wayside.storage import open_folder
+from wayside.sources import feed_parts
+from wayside.storage import TableStore, folders, open_folder, qualified
 
 # Field numbers and enum numbers of the specification.
 _LAYOUT = {
@@ -48,7 +50,7 @@ INCOMING_AT, IN_TRANSIT_TO = 0, 2
 RUNNING_SMOOTHLY, CONGESTION = 1, 3
 
 # Rows of a task's output batch, and entities of a chunk, at most.
-BATCH = 10_000
+BATCH, CHUNK = 10_000, 1_000
 
 _CHUNKS = "path string, dt date, entities int, content binary"
 
@@ -118,34 +120,57 @@ def feed_message():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("wayside_rt.FeedMessage"))
 
 
-def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    """Feed files below a path, any depth of `dt=` folders."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb")
-    return files.option("recursiveFileLookup", True).load(path).select("path", "content")
+def read_feeds(spark: SparkSession, path: str, part: int = feed_parts.PART) -> DataFrame:
+    """Parts of the feed files below a path, any depth of `dt=` folders: what `decode` and `headers` take.
+
+    No task reads more than a part at once, so a file may be of any size.
+    """
+    return feed_parts.scan(spark, path, part)
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The chunk table that `land_feeds` writes, which `decode` and `headers` take as well."""
+    return spark.read.schema(_CHUNKS).parquet(path)
 
 
-def decode(feeds: DataFrame) -> DataFrame:
-    """One row per vehicle entity of every feed file."""
+def decode(feeds: DataFrame, each: int = feed_parts.DEALT) -> DataFrame:
+    """One row per vehicle entity of feed files or chunks; files are dealt out by `each` bytes a task."""
     ship_package(feeds.sparkSession)
-    return feeds.select("content").mapInPandas(_decode_batches, BRONZE["decoded_trains"])
+    if "content" in feeds.columns:
+        return feeds.select("content").mapInPandas(_decode_chunks, BRONZE["decoded_trains"])
+    dealt = feed_parts.dealt(feeds.where("entities > 0").select("path", "start", "end"), each)
+    return dealt.mapInPandas(_decode_parts, BRONZE["decoded_trains"])
 
 
 def headers(feeds: DataFrame) -> DataFrame:
-    """One row per feed file: its path, header fields and number of entities."""
+    """One row per feed file or poll: its path, header fields and number of entities; entities are not read.
+
+    A chunk table gives its day as well. A message in pieces may repeat its header; the last
+    value of a field counts, as for any reader of the whole message.
+    """
     ship_package(feeds.sparkSession)
+    if "content" in feeds.columns:
+        keys, place = ["path", "dt"], F.lit(0)
+        piece = F.when(F.col("entities") == 0, F.col("content"))
+    else:
+        keys, place = ["path"], F.col("start")
+        piece = F.when(F.length("header") > 0, F.col("header"))
+    pieces = F.collect_list(F.when(piece.isNotNull(), F.struct(place.alias("place"), piece.alias("piece"))))
+    polls = feeds.groupBy(*keys).agg(F.sum("entities").cast("int").alias("entities"), F.array_sort(pieces).alias("pieces"))
+    joined = polls.select(*keys, "entities", F.expr("aggregate(pieces, X'', (a, b) -> concat(a, b.piece))").alias("header"))
 
     def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [feed_message().FromString(bytes(content)) for content in batch["content"]]
-            yield pd.DataFrame({
-                "path": batch["path"],
-                "version": [f.header.gtfs_realtime_version for f in found],
-                "incrementality": [f.header.incrementality for f in found],
-                "header_at": [f.header.timestamp for f in found],
-                "entities": [len(f.entity) for f in found],
-            })
+            found = [feed_message().FromString(bytes(content)).header for content in batch["header"]]
+            yield batch[keys].assign(
+                version=[h.gtfs_realtime_version for h in found],
+                incrementality=[h.incrementality for h in found],
+                header_at=[h.timestamp for h in found],
+                entities=batch["entities"],
+            )
 
-    return feeds.mapInPandas(read, "path string, version string, incrementality int, header_at bigint, entities int")
+    columns = "path string, " + ("dt date, " if "dt" in keys else "")
+    return joined.mapInPandas(read, columns + "version string, incrementality int, header_at bigint, entities int")
 
 
 def _field(message, path: str):
@@ -164,23 +189,30 @@ def _set_field(message, path: str, value) -> None:
     setattr(message, last, value)
 
 
-def _decode_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decode_chunks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _frames(bytes(content) for batch in batches for content in batch["content"])
+
+
+def _decode_parts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _frames(feed_parts.read_part(*row) for batch in batches for row in batch.itertuples(index=False))
+
+
+def _frames(messages: Iterable[bytes]) -> Iterator[pd.DataFrame]:
     read = [w for w in WIRE if w.column]
     columns = [part.split()[0] for part in BRONZE["decoded_trains"].split(", ")]
 
-    def rows(batch):
-        for content in batch["content"]:
-            feed = feed_message().FromString(bytes(content))
+    def rows():
+        for message in messages:
+            feed = feed_message().FromString(message)
             for vehicle in (e.vehicle for e in feed.entity if e.HasField("vehicle")):
                 yield {w.column: w.read(_field(vehicle, w.path)) for w in read}
 
-    for batch in batches:
-        left = rows(batch)
-        while part := list(itertools.islice(left, BATCH)):
-            frame = pd.DataFrame(part, columns=columns).astype({"heading": "Int32"})
-            # The epoch holds local wall time written as if it were UTC; no zone is applied.
-            frame["report_ts"] = pd.to_datetime(frame["report_ts"], unit="s")
-            yield frame
+    left = rows()
+    while part := list(itertools.islice(left, BATCH)):
+        frame = pd.DataFrame(part, columns=columns).astype({"heading": "Int32"})
+        # The epoch holds local wall time written as if it were UTC; no zone is applied.
+        frame["report_ts"] = pd.to_datetime(frame["report_ts"], unit="s")
+        yield frame
 
 
 def epoch_seconds(stamp: Column | str) -> Column:
@@ -201,8 +233,8 @@ def encode(trains: DataFrame, polls: DataFrame) -> DataFrame:
     `trains` is train rows with their poll's time in `feed_ts`; `polls` lists the polls to
     write (`feed_ts`). Serialised feed messages may be put one after the other: each poll
     has one chunk with its header, also without a usable train, and chunks of entities
-    as tasks come by them. No task holds a poll, whatever its size, and every poll is
-    one file. Trains without a position or outside the city are left out.
+    as tasks come by them. No task holds a poll, whatever its size. Trains without a
+    position or outside the city are left out.
     """
     ship_package(trains.sparkSession)
     named = [feed_name(F.col("feed_ts")).alias("path"), F.to_date("feed_ts").alias("dt")]
@@ -229,70 +261,87 @@ def _encode_entities(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for trains in batches:
         out = []
         for (path, day), rows in trains.groupby(["path", "dt"], sort=False):
-            feed = feed_message()()
-            for row in rows[[w.source for w in WIRE]].to_dict("records"):
-                entity = feed.entity.add(id=_kept(row["rn"]) or "")
-                for wire in WIRE:
-                    value = wire.write(row[wire.source])
-                    if value is not None:
-                        _set_field(entity.vehicle, wire.path, value)
-            out.append((path, day, len(rows), feed.SerializeToString()))
+            for at in range(0, len(rows), CHUNK):
+                feed, some = feed_message()(), rows.iloc[at : at + CHUNK]
+                for row in some[[w.source for w in WIRE]].to_dict("records"):
+                    entity = feed.entity.add(id=_kept(row["rn"]) or "")
+                    for wire in WIRE:
+                        value = wire.write(row[wire.source])
+                        if value is not None:
+                            _set_field(entity.vehicle, wire.path, value)
+                out.append((path, day, len(some), feed.SerializeToString()))
         yield pd.DataFrame(out, columns=["path", "dt", "entities", "content"])
 
 
+def land_feeds(store: TableStore, name: str, chunks: DataFrame) -> int:
+    """Write chunks as a table with a partition for each poll; the same poll again replaces its earlier load.
+
+    A poll's chunks go wherever their rows are, the header as a row of its own, and a poll
+    with a third of all rows takes several files and tasks. Polls appear when the whole job
+    is committed, so a lost task leaves no part of one. Gives the number of chunks.
+    """
+    return store.reload_days(name, chunks, ("dt", "path"))
+
+
 def write_feeds(chunks: DataFrame, root: str) -> DataFrame:
-    """Write each poll's chunks to `<root>/dt=<day>/<path>`, header first; lazy, one row per file.
+    """Write each poll's chunks to the single file `<root>/dt=<day>/<path>`, for readers that want one.
 
-    The chunks of a poll come to one task in order, which passes them on to the file one
-    by one. A file gets its name once it is complete; a poll of which a part was
-    written is still pending.
+    Lazy, one row per file. The chunks of a poll come to one task in order, header first, which
+    passes them on to the file one by one. A file gets its name once it is complete, and a
+    second writer of the same poll leaves the same bytes.
     """
     ship_package(chunks.sparkSession)
+    root = qualified(chunks.sparkSession, root)
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, base = open_folder(root)
         rows = (row for batch in batches for row in batch.itertuples(index=False))
-        for (day, path), parts in itertools.groupby(rows, key=lambda row: (row.dt, row.path)):
+        for (day, path), pieces in itertools.groupby(rows, key=lambda row: (row.dt, row.path)):
             folder = f"{base}/dt={day}"
             target.create_dir(folder, recursive=True)
             unfinished, entities = f"{folder}/.{path}.{uuid.uuid4().hex}.part", 0
             with target.open_output_stream(unfinished) as out:
-                for part in parts:
-                    out.write(part.content)
-                    entities += part.entities
+                for piece in pieces:
+                    out.write(piece.content)
+                    entities += piece.entities
             target.move(unfinished, f"{folder}/{path}")
             yield pd.DataFrame({"path": [f"{folder}/{path}"], "entities": [entities]})
 
-    header_first = chunks.repartition("dt", "path").sortWithinPartitions("dt", "path", F.col("entities") > 0)
-    return header_first.mapInPandas(write, "path string, entities int")
+    in_order = chunks.repartition("dt", "path").sortWithinPartitions("dt", "path", F.col("entities") > 0, "content")
+    return in_order.mapInPandas(write, "path string, entities int")
 
 
 # A poll's time stands in its file's (or folder's) name.
-_STAMP_IN_PATH = r"trains_(\d{8}T\d{6})"
+_STAMP_IN_PATH = r"trains_(\d{8}T\d{6})[^/]*(?:/[^/]*)?$"
 _STAMP = "yyyyMMdd'T'HHmmss"
 
 
 def _poll_time(path: Column) -> Column:
-    return F.to_timestamp_ntz(F.regexp_extract(path, _STAMP_IN_PATH, 1), F.lit(_STAMP))
+    return F.to_timestamp_ntz(F.nullif(F.regexp_extract(path, _STAMP_IN_PATH, 1), F.lit("")), F.lit(_STAMP))
 
 
-def _polls(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
-    paths = files.option("recursiveFileLookup", True).load(root).select("path")
-    return paths.select(_poll_time(F.col("path")).alias("feed_ts")).distinct()
+def _polls(spark: SparkSession, root: str, since: dt.date | None) -> DataFrame:
+    """Polls by the names of what lies below a root; with a day, only folders of that day and later are listed."""
+    under = [root] if since is None else [f"{root}/{d}" for d in folders(spark, root) if d >= f"dt={since}"]
+    none = spark.createDataFrame([], "feed_ts timestamp_ntz")
+    if not under or not any(folders(spark, u) or since for u in under):
+        return none
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{parquet,pb}")
+    paths = files.option("recursiveFileLookup", True).load(under).select("path")
+    return paths.select(_poll_time(F.col("path")).alias("feed_ts")).where("feed_ts is not null").distinct()
 
 
-def pending_polls(spark: SparkSession, poll_root: str, feed_root: str) -> DataFrame:
-    """Landed polls (Parquet named `trains_<stamp>`) that have no feed file yet.
+def pending_polls(spark: SparkSession, poll_root: str, feed_root: str, since: dt.date | None = None) -> DataFrame:
+    """Landed polls (Parquet named `trains_<stamp>`) that the chunk table, or a folder of feed files, lacks.
 
     Only file names are listed, so a poll without a single train counts too.
     """
-    return _polls(spark, poll_root, "parquet").join(_polls(spark, feed_root, "pb"), "feed_ts", "left_anti")
+    return _polls(spark, poll_root, since).join(_polls(spark, feed_root, since), "feed_ts", "left_anti")
 
 
-def backfill(spark: SparkSession, poll_root: str, feed_root: str) -> DataFrame:
-    """Chunks of a feed file for every landed poll that lacks one; a second run finds none."""
-    polls = pending_polls(spark, poll_root, feed_root)
+def backfill(spark: SparkSession, poll_root: str, feed_root: str, since: dt.date | None = None) -> DataFrame:
+    """Chunks for every landed poll that lacks them; a second run finds none."""
+    polls = pending_polls(spark, poll_root, feed_root, since)
     files = spark.read.schema(BRONZE["train_positions"]).option("recursiveFileLookup", True).parquet(poll_root)
     rows = files.withColumn("feed_ts", _poll_time(F.col("_metadata.file_path")))
     return encode(rows.join(polls, "feed_ts", "left_semi"), polls)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayside.schemas import struct
-from wayside.storage import open_folder
+from wayside.storage import folders
 
 
 def typed_scan(spark: SparkSession, root: str, ddl: str) -> DataFrame:
@@ -13,24 +13,20 @@ def typed_scan(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     return spark.read.schema(struct(ddl)).parquet(root)
 
 
-def _newest_folder(root: str) -> tuple[str, str]:
-    """Name and path of the lexically newest folder in another; lists that one level only."""
-    from pyarrow import fs
-
-    files, path = open_folder(root)
-    found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
-    names = [f.base_name for f in found if f.type == fs.FileType.Directory and not f.base_name.startswith(("_", "."))]
-    if not names:
+def _newest_folder(spark: SparkSession, root: str) -> str:
+    """The lexically newest folder in another; lists that one level only."""
+    found = folders(spark, root)
+    if not found:
         raise LookupError(f"nothing landed under {root}")
-    return max(names), f"{root.rstrip('/')}/{max(names)}"
+    return f"{root.rstrip('/')}/{found[-1]}"
 
 
 def newest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the newest `dt=` snapshot only, with its own columns; an error if there is none."""
-    return spark.read.parquet(_newest_folder(root)[1])
+    return spark.read.parquet(_newest_folder(spark, root))
 
 
 def newest_poll(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     """All rows of the poll landed last: every file of the newest folder of the newest day."""
-    _, day = _newest_folder(root)
-    return spark.read.schema(struct(ddl)).parquet(_newest_folder(day)[1])
+    day = _newest_folder(spark, root)
+    return spark.read.schema(struct(ddl)).parquet(_newest_folder(spark, day))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Sequence
 
@@ -23,16 +22,47 @@ def shared_root(spark: SparkSession) -> str:
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: one without lies in Spark's default file system, not on a local disk."""
+    files, found = _hadoop(spark, path)
+    return found.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+
 def open_folder(root: str):
-    """File system and path of a folder, for the few files Spark has no writer for."""
+    """File system and path of a qualified folder or file, for tasks that read or write bytes themselves."""
     from pyarrow import fs
 
     scheme, apart, rest = root.partition(":/")
     if not apart:
-        return fs.LocalFileSystem(), os.path.abspath(root)
+        raise ValueError(f"{root} names no file system")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:/{rest}")
 
 
+def folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders in another, one level only."""
+    files, path = _hadoop(spark, root)
+    found = files.listStatus(path) if files.exists(path) else []
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, by the file system through which Spark reaches the path."""
+    files, target = _hadoop(spark, path)
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def make_folder(spark: SparkSession, root: str) -> None:
+    files, path = _hadoop(spark, root)
+    files.mkdirs(path)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
