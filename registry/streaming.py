@@ -13,7 +13,7 @@ from wayside.operators.silver import bus_reports
 from wayside.plans.rules import SUITES
 from wayside.schemas import BRONZE
 from wayside.storage import TableStore, fresh_folder
-from wayside.streaming import feeds, positions
+from wayside.streaming import feeds, positions, states
 
 # Longer than the data, so the watermark drops nothing and batch results must be met.
 WHOLE_SPAN = "60 days"
@@ -61,12 +61,15 @@ def first_reports(spark, sf_dir):
 _FIRST = pick(f"({_BUS_REPORTS})", "mode, vehicle_id, report_ts", "_ingested_at, route_id, headsign, lat, lon")
 
 
-@query("str_03_hourly_delay_exact", compose(f"""
+_HOURLY = f"""
 SELECT p.agency, p.mode, p.route_id, ifnull(r.route_long_name, p.route_id) AS route_name, p.report_ts::DATE AS report_date,
        hour(p.report_ts)::INTEGER AS report_hour, count(*) AS report_count,
        count(*) FILTER (WHERE p.is_delayed) AS delayed_count, count(DISTINCT p.vehicle_id) AS active_vehicles
 FROM ({_FIRST}) p LEFT JOIN x_stg_routes r ON r.route_id = p.route_id GROUP BY ALL
-"""))
+"""
+
+
+@query("str_03_hourly_delay_exact", compose(_HOURLY))
 def hourly_exact(spark, sf_dir):
     store = _store(spark)
     routes = model(spark, sf_dir, "stg_routes")
@@ -89,14 +92,42 @@ def hourly_estimate(spark, sf_dir):
     return last.drop("batch", "active_vehicles")
 
 
-@query("str_04_latest_fleet", compose(pick(
-    f"({_BUS_REPORTS})", "mode, vehicle_id", "report_ts DESC, _ingested_at, route_id, headsign, lat, lon")))
+_NEWEST = pick(f"({_BUS_REPORTS})", "mode, vehicle_id", "report_ts DESC, _ingested_at, route_id, headsign, lat, lon")
+
+
+@query("str_04_latest_fleet", compose(_NEWEST))
 def live_fleet(spark, sf_dir):
     store = _store(spark)
     _run(spark, _reports(spark, sf_dir), positions.latest_fleet(store))
     return positions.fleet(store)
 
 
+@query("str_02_stream_earliest", compose(_FIRST))
+def earliest_reports(spark, sf_dir):
+    """The first ingested report of every key with its payload, whatever the files' order."""
+    store = _store(spark)
+    changes = states.earliest_changes(_reports(spark, sf_dir)).withColumn("report_date", F.to_date("report_ts"))
+    _run(spark, changes, states.log_to(store, "reports_log", "report_date"), mode="update")
+    return states.earliest(store)
+
+
+@query("str_03_hourly_delay_bitmaps", compose(_HOURLY))
+def hourly_merged(spark, sf_dir):
+    """Each batch adds its bitmaps of vehicles; no report is read twice."""
+    store = _store(spark)
+    _run(spark, states.earliest_changes(_reports(spark, sf_dir)), states.hourly_bitmaps(store), mode="update")
+    return states.hourly(store, model(spark, sf_dir, "stg_routes")).drop("delayed_rate")
+
+
+@query("str_04_fleet_state", compose(_NEWEST))
+def fleet_by_state(spark, sf_dir):
+    """Only changed vehicles are written; the log is compacted before it is read."""
+    store = _store(spark)
+    _run(spark, states.fleet_changes(_reports(spark, sf_dir)), states.log_to(store, "fleet_log"), mode="update")
+    states.compact_fleet(store)
+    return states.fleet(store)
+
+
 @query("str_05_stream_gate", compose(f"""
 SELECT vid, tmstmp, lat, lon, _ingested_at, CASE WHEN {IN_BOX} THEN 'accepted' ELSE 'quarantine' END AS lane FROM x_bus
 """))

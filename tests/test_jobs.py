@@ -13,7 +13,7 @@ from wayside.operators import quality, sinks
 from wayside.plans import jobs, lakehouse
 from wayside.plans.rules import ASSERTIONS, SUITES
 from wayside.storage import TableStore
-from wayside.streaming import positions
+from wayside.streaming import states
 
 pytest.importorskip("google.protobuf")
 
@@ -105,7 +105,7 @@ def test_failed_gate_keeps_dependants_from_being_written(spark, bronze, tmp_path
 def test_live_tables(spark, bronze, tmp_path, rows):
     live = TableStore(spark, str(tmp_path))
     jobs.stream_fleet(spark, bronze, live, cadence=None)
-    assert rows(positions.fleet(live), "vehicle_id") == [("0",), ("1",)]
+    assert rows(states.fleet(live), "vehicle_id") == [("0",), ("1",)]
     assert (live.read("accepted").count(), live.read("quarantine").count()) == (4, 1)
     assert live.read("checks").agg(F.count("*")).first()[0] == 7
 

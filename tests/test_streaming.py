@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from wayside.operators import intermediate, quality, staging
 from wayside.operators.silver import earliest_reports
-from wayside.schemas import SILVER
+from wayside.schemas import SILVER, struct
 from wayside.storage import TableStore
-from wayside.streaming import feeds, positions
+from wayside.streaming import feeds, positions, states
 
 T0 = dt.datetime(2024, 1, 1, 8)
 
@@ -159,3 +161,109 @@ def test_a_lasting_feed_outlives_many_failures(spark, folders):
     assert [name for name, _ in told] == ["bad"] * 10
     assert all(f"down {i}" in text for i, (_, text) in enumerate(told, 1))
     assert store.read("good").count() == store.read("bad").count() == 1
+
+
+# --- keyed state
+
+
+def _shuffled(seed, n=90):
+    """Reports of few vehicles, routes and minutes, many of them of one key; ingested in another order than they come."""
+    draw = random.Random(seed)
+    return [
+        _report(draw.choice(["1", "2", "3", None]), draw.choice([None, 0, 5, 70, 1500]), draw.choice(["66", "99"]), late=draw.random() < 0.4, seen=draw.randrange(-50, 50))
+        for _ in range(n)
+    ]
+
+
+def _batches(spark, folders, shape, handle, reports, parts=3):
+    """Every batch is a run of its own, so that each but the first starts again from the checkpoint."""
+    root, _, _ = folders
+    for i in range(parts):
+        _land(spark, root, *reports[i::parts])
+        _drain(spark, folders, handle, shape, mode="update")
+
+
+def _silver(spark, reports):
+    return spark.createDataFrame(reports, SILVER["silver_vehicle_positions"])
+
+
+def test_fleet_state_writes_changed_vehicles_only(spark, folders, rows):
+    root, store, progress = folders
+    reports = _shuffled(1)
+    _batches(spark, folders, states.fleet_changes, states.log_to(store, "fleet_log"), reports)
+    wanted = rows(positions.newest_per_vehicle(_silver(spark, reports)))
+    assert rows(states.fleet(store).select(*_silver(spark, reports).columns)) == wanted
+    before = store.read("fleet_log").count()
+    _land(spark, root, _report("2", 2000), _report("1", 1))
+    _drain(spark, folders, states.log_to(store, "fleet_log"), states.fleet_changes, mode="update")
+    assert store.read("fleet_log").count() == before + 1
+    newest = rows(states.fleet(store))
+    assert states.compact_fleet(store) == 4 and not store.exists("fleet_log/batch=0")
+    # A new checkpoint reads everything again, beside the compacted table.
+    again = root, store, f"{progress}-again"
+    _drain(spark, again, states.log_to(store, "fleet_log"), states.fleet_changes, mode="update")
+    assert rows(states.fleet(store)) == newest
+
+
+def test_earliest_reports_in_any_order(spark, folders, rows):
+    """Payload and all, after restarts; corrected days are settled into a target by day."""
+    _, store, _ = folders
+    reports = _shuffled(2)
+    _batches(spark, folders, lambda s: states.earliest_changes(s).withColumn("report_date", F.to_date("report_ts")), states.log_to(store, "reports_log", "report_date"), reports)
+    columns = _silver(spark, reports).columns
+    wanted = earliest_reports(_silver(spark, reports)).select(*columns)
+    assert rows(states.earliest(store).select(*columns)) == rows(wanted)
+    log = store.read("reports_log")
+    assert log.where("corrects").count() > 0 and log.where("not corrects").count() == wanted.count()
+    days = [T0.date(), T0.date() + dt.timedelta(days=1)]
+    for some in (days[:1], days[1:], days):
+        states.settle_days(store, some, "positions")
+    assert rows(store.read("positions").select(*columns)) == rows(wanted.where("report_ts is not null"))
+
+
+def test_hourly_bitmaps_merge_late_reports(spark, folders, rows):
+    _, store, _ = folders
+    routes = spark.createDataFrame([("66", "Chicago")], "route_id string, route_long_name string")
+    reports = _shuffled(3)
+    _batches(spark, folders, states.earliest_changes, states.hourly_bitmaps(store), reports)
+    staged = staging.vehicle_positions(earliest_reports(_silver(spark, reports)))
+    expected = intermediate.delay_by_route_hour(intermediate.vehicle_hours(staged), routes)
+    assert rows(states.hourly(store, routes), *expected.columns) == rows(expected)
+    one_day = expected.where(F.col("report_date") == T0.date())
+    assert rows(states.hourly(store, routes, [T0.date()]), *expected.columns) == rows(one_day)
+    assert store.read("hour_parts").where("left").count() > 0
+
+
+def test_a_repeated_batch_of_bitmaps_changes_nothing(spark, folders, rows):
+    _, store, _ = folders
+    store.spark = spark
+    routes = spark.createDataFrame([], "route_id string, route_long_name string")
+    told = {"corrects": F.lit(False), "old_agency": F.lit(None).cast("string"), "old_route_id": F.lit(None).cast("string"), "old_is_delayed": F.lit(None).cast("boolean")}
+    first, second = (_silver(spark, r).withColumns(told) for r in ([_report("1", 0), _report("2", 5)], [_report("3", 5), _report("1", 9, late=True), _report("2", 90)]))
+    handle = states.hourly_bitmaps(store)
+    for batch_id, frame in ((0, first), (1, second), (1, second)):
+        handle(frame, batch_id)
+    assert rows(states.hourly(store, routes), "report_hour", "report_count", "delayed_count", "active_vehicles") == [(8, 4, 1, 3), (9, 1, 0, 1)]
+    assert rows(store.read("vehicles"), "vehicle_id", "number") == [("1", 1), ("2", 2), ("3", 3)]
+
+
+def test_state_of_silent_vehicles_goes(spark, folders, rows):
+    """A query at a cadence lets state go after a while; the log's order keeps the fleet right."""
+    root, store, progress = folders
+    store.spark = spark
+    _land(spark, root, _report("1", 10))
+    changes = states.fleet_changes(positions.positions_stream(spark, root), lasts_days=1 / 86_400)
+    ddl = SILVER["silver_vehicle_positions"] + ", run string, batch bigint"
+    query = positions.start(changes, states.log_to(store, "fleet_log"), progress, "2 seconds", "update")
+    try:
+        for minute, least in ((10, 1), (5, 2)):
+            if least > 1:
+                _land(spark, root, _report("1", minute))
+            until = time.monotonic() + 60
+            while time.monotonic() < until and not (store.exists("fleet_log") and store.read("fleet_log", struct(ddl)).count() >= least):
+                time.sleep(1)
+            time.sleep(2)
+    finally:
+        query.stop()
+    assert store.read("fleet_log").count() == 2
+    assert rows(states.fleet(store), "report_ts") == [(T0 + dt.timedelta(minutes=10),)]

@@ -86,10 +86,18 @@ def delay_by_route_hour(hours: DataFrame, routes: DataFrame) -> DataFrame:
         F.sum("delays").alias("delays"),
         F.count("vehicle_id").alias("active_vehicles"),
     )
+    return named_route_hours(totals, routes)
+
+
+def named_route_hours(totals: DataFrame, routes: DataFrame) -> DataFrame:
+    """Totals by route, day and hour (reports, delays, active_vehicles) with names and rates."""
     return _named_hours(totals, routes).select(
-        *keys[:3],
+        "agency",
+        "mode",
+        "route_id",
         "route_name",
-        *keys[3:],
+        "report_date",
+        "report_hour",
         (F.col("reports") * F.col("listed")).alias("report_count"),
         (F.col("delays") * F.col("listed")).alias("delayed_count"),
         "active_vehicles",

@@ -19,7 +19,7 @@ from wayside.schemas import BRONZE
 from wayside.session import cluster_session
 from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
 from wayside.storage import TableStore, make_folder
-from wayside.streaming import feeds, positions
+from wayside.streaming import feeds, positions, states
 
 # Folders of the landed feeds, and the suite each newest poll must pass.
 BUS = "cta/gtfs_rt/vehicle_positions"
@@ -170,7 +170,7 @@ def open_lake(lake: TableStore) -> dict[str, DataFrame]:
 
 
 def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cadence: str | None = feeds.CADENCE) -> None:
-    """Gate the bus feed, and keep the newest accepted report per vehicle.
+    """Gate the bus feed, and log the newest accepted report per vehicle (`states.fleet` reads it).
 
     At a cadence both run for ever side by side. Without one the gate works on what has
     landed, and then the fleet on what it accepted.
@@ -187,7 +187,9 @@ def stream_fleet(spark: SparkSession, bronze: TableStore, live: TableStore, cade
 
     def fleet():
         found = bus_reports(reports(live.path("accepted"), ["batch"])).where(in_box("lat", "lon"))
-        return positions.start(found, positions.latest_fleet(live), live.path("progress/fleet"), cadence)
+        changes = states.fleet_changes(found, states.LASTS if cadence else None)
+        progress = live.path("progress/fleet" if cadence else "progress/fleet-once")
+        return positions.start(changes, states.log_to(live, "fleet_log"), progress, cadence, "update")
 
     if cadence:
         feeds.run_feeds({"gate": gate, "fleet": fleet}, lasting=True)

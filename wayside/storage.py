@@ -108,6 +108,10 @@ class TableStore:
         files, path = _hadoop(self.spark, self.path(name))
         return files.exists(path)
 
+    def drop(self, name: str) -> None:
+        files, path = _hadoop(self.spark, self.path(name))
+        files.delete(path, True)
+
     def rebuild(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Replace the whole table once the new one is complete; gives the row count of the same pass."""
         return self._write(name, df, "overwrite", partition_by, "static")
