@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from registry import query
 from registry.inputs import Landed, built
 from registry.parts import compose
-from wayside.operators import quality
+from wayside.operators import quality, uniqueness
 from wayside.plans.rules import ASSERTIONS, SUITES, rules_of
 
 # Graph table -> piece of comparison SQL with the same rows.
@@ -207,6 +207,24 @@ def raw_duplicates(spark, sf_dir):
     return quality.no_duplicate_keys("raw_reports", Landed(spark, sf_dir)["bus_positions"], ["vid", "tmstmp", "zone"])
 
 
+_RAW_KEYS = {
+    "bus_positions": ("x_bus", ["vid", "tmstmp"]),
+    "stop_times": ("x_stop_times", ["trip_id", "stop_id"]),
+    "stops": ("x_stops", ["stop_id"]),
+    "congestion": ("x_congestion", ["segment_id", "time", "street"]),
+}
+
+
+@query("dq_10_repeated_keys_by_fingerprint", compose("\nUNION ALL\n".join(f"""
+SELECT '{name}' AS table_name, (SELECT count(*) FROM (SELECT {", ".join(keys)} FROM {piece} GROUP BY ALL HAVING count(*) > 1)) AS repeated, count(*) AS rows FROM {piece}
+""" for name, (piece, keys) in _RAW_KEYS.items())))
+def repeated_by_fingerprint(spark, sf_dir):
+    """Keys of raw tables counted by 64-bit fingerprints; full keys only where one repeats."""
+    landed = Landed(spark, sf_dir)
+    rows = [(name, *uniqueness.repeated_keys(landed[name], keys)) for name, (_, keys) in _RAW_KEYS.items()]
+    return spark.createDataFrame(rows, "table_name string, repeated bigint, rows bigint")
+
+
 @query("dq_11_blocking_gate", compose("""
 SELECT *, count(*) FILTER (WHERE lane = 'quarantine') OVER () > 0 AS blocked
 FROM (SELECT vid, tmstmp, lat, lon, hdg, CASE WHEN lat BETWEEN 41 AND 43 AND lon BETWEEN -89 AND -87 THEN 'accepted' ELSE 'quarantine' END AS lane

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from wayside.operators import quality as q
+from wayside.operators import quality as q, uniqueness
 from wayside.plans.rules import ASSERTIONS, SUITES, TABLE_RULES
 from wayside.operators.silver import AGENCY
 
@@ -85,3 +88,40 @@ def test_split_rows_quarantines_the_unknown(spark):
     df = spark.createDataFrame([(1,), (9,), (None,)], "x int")
     good, bad = q.split_rows(df, F.col("x") < 5)
     assert (good.count(), bad.count()) == (1, 2)
+
+
+def _brute(rows):
+    counts = Counter(rows)
+    return sum(n > 1 for n in counts.values()), len(rows)
+
+
+@pytest.mark.parametrize("mark", [F.xxhash64, lambda *c: F.lit(7).cast("long"), lambda *c: F.pmod(F.xxhash64(*c), F.lit(5)), lambda *c: -F.abs(F.hash(*c)).cast("long")])
+def test_repeated_keys_in_two_steps(spark, mark):
+    """Fingerprints that collide by force, at any place of the bitmap, bring rows to the exact count and change nothing."""
+    draw = random.Random(4)
+    tables = [
+        [(draw.choice("abc"), draw.choice([None, 1, 2]), draw.choice(["x", None])) for _ in range(30)],
+        [(f"k{i}", i, None) for i in range(200)],
+        [(f"k{i}", i, None) for i in range(200)] + [("k7", 7, None), (None, None, None), (None, None, None)],
+        [],
+    ]
+    for rows in tables:
+        df = spark.createDataFrame(rows, "a string, b int, c string").repartition(3)
+        assert uniqueness.repeated_keys(df, ["a", "b", "c"], mark) == _brute(rows)
+        assert uniqueness.repeated_keys(df, ["a"], mark) == _brute([r[0] for r in rows])
+
+
+def test_only_keys_that_may_repeat_cross_the_shuffle(spark):
+    df = spark.createDataFrame([(f"key{i % 990}",) for i in range(1000)], "k string").repartition(4)
+    marks = df.groupBy(F.xxhash64("k").alias("mark")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    passed = uniqueness.suspects(df, ["k"], marks)
+    assert sorted(r["k"] for r in passed.collect()) == sorted(f"key{i}" for i in range(10) for _ in range(2))
+
+
+def test_unique_texts_are_shuffled_as_fingerprints(spark):
+    """A table whose keys don't repeat: no exchange has the key among its columns."""
+    df = spark.createDataFrame([(f"key{i}", i) for i in range(100)], "k string, n int")
+    result = q.check_table("t", [q.unique("k"), q.unique("n")], {"t": df}).collect()
+    assert [(r.violations, r.total, r.passed) for r in result] == [(0, 100, True)] * 2
+    plan = df.groupBy(F.xxhash64("k").alias("mark")).count()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(mark" in plan or "hashpartitioning(_groupingexpression" in plan

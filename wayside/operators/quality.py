@@ -2,7 +2,7 @@
 
 A check is a frame with one row per rule, so any number of rules costs the
 passes their kinds need: all row-level rules of a table share one aggregate,
-each key rule adds one shuffle of that key alone.
+each key rule adds one shuffle of that key alone, or of its fingerprint if that is smaller.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
+from wayside.operators.uniqueness import repeated_keys, wide
+
 RESULT = (
     "table_name string, rule string, column_name string, violations bigint, total bigint, passed boolean"
 )
@@ -95,7 +97,10 @@ def _key_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def _unique_rule(table: str, df: DataFrame, rule: Rule) -> DataFrame:
-    """Non-null values that occur more than once."""
+    """Non-null values that occur more than once; texts are compared by fingerprint first, now."""
+    if wide(df, [rule.column]):
+        bad, n = repeated_keys(df.where(F.col(rule.column).isNotNull()), [rule.column])
+        return df.sparkSession.createDataFrame([(table, rule.kind, rule.column, bad, n, bad == 0)], RESULT)
     totals = _key_counts(df, rule.column).agg(
         F.count_if(F.col("n") > 1).alias("bad"), F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n")
     )
@@ -251,7 +256,10 @@ def zero_violations(check: str, df: DataFrame, predicate: str) -> DataFrame:
 
 
 def no_duplicate_keys(check: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once; here NULLs are a key like any other."""
+    """Keys that occur more than once; here NULLs are a key like any other. Wide keys are compared by fingerprint first, now."""
+    if wide(df, keys):
+        bad, _ = repeated_keys(df, keys)
+        return df.sparkSession.createDataFrame([(check, bad, bad == 0)], "check_name string, violations bigint, passed boolean")
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return repeated.agg(F.count_if(F.col("_copies") > 1).alias("violations")).select(
         F.lit(check).alias("check_name"), "violations", (F.col("violations") == 0).alias("passed")
