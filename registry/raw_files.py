@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import zipfile
 from collections.abc import Callable
 from functools import wraps
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.inputs import Landed, _lat, _lon, given, hour_start, is_bus, text
 from wayside.plans.rules import RAIL_LINES
 from wayside.sources.bus_feed import STAMP
 from wayside.sources.weather import MEASURES
-from wayside.storage import fresh_folder
+from wayside.shipping import ship_package
+from wayside.storage import fresh_folder, open_folder, qualified
 
 LOADED_AT = "2024-06-01"
 
@@ -54,6 +60,30 @@ def timetable(spark, sf_dir, path):
         landed[name].write.options(header=True, **as_is).csv(f"{path}/{name}.txt")
 
 
+@_once
+def zipped_stop_times(spark, sf_dir, path):
+    """Stop times in archives, one for each task of the scan, each with a second member; rows are streamed into them."""
+    rows = Landed(spark, sf_dir)["stop_times"]
+    columns, root = rows.columns, qualified(spark, path)
+
+    def pack(batches):
+        files, folder = open_folder(root)
+        files.create_dir(folder, recursive=True)
+        part, count = TaskContext.get().partitionId(), 0
+        with files.open_output_stream(f"{folder}/set-{part:05}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            with archive.open("stop_times.txt", "w") as raw, io.TextIOWrapper(raw, "utf-8", newline="") as text:
+                lines = csv.writer(text)
+                lines.writerow(columns)
+                for batch in batches:
+                    lines.writerows(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+                    count += batch.num_rows
+            archive.writestr("feed_info.txt", f"feed_publisher_name,rows\ncity,{count}\n")
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([count], pa.int64())})
+
+    ship_package(spark)
+    rows.mapInArrow(pack, "rows long").agg(F.sum("rows")).collect()
+
+
 @_once
 def bus_responses(spark, sf_dir, path):
     """Fifty reports per response; every twentieth response holds only an error."""

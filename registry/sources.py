@@ -26,6 +26,12 @@ def stop_times_text(spark, sf_dir):
     return _timetable(spark, sf_dir, "stop_times")
 
 
+@query("src_01_gtfs_zip_scan", compose(f"SELECT *, {_AT} FROM x_stop_times"))
+def zipped_stop_times(spark, sf_dir):
+    """Stop times in zip archives, unpacked by a task for each member."""
+    return gtfs_static.scan_zip(spark, raw_files.zipped_stop_times(spark, sf_dir), raw_files.loaded_at())["stop_times"]
+
+
 @query("src_01_gtfs_csv_scan_stops", compose(f"""
 SELECT * REPLACE (nullif(stop_lat, '') AS stop_lat, nullif(location_type, '') AS location_type), {_AT} FROM x_stops
 """))

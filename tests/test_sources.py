@@ -116,6 +116,21 @@ def test_zip_set(spark, tmp_path, rows):
         gtfs_static.scan_zip(spark, str(tmp_path), at())
 
 
+def test_every_member_of_a_zip_is_a_task(spark, tmp_path):
+    for name, members in (("a", ["stops", "trips", "shapes"]), ("b", ["stops", "trips"])):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            for member in members:
+                archive.writestr(f"{member}.txt", "id\n" + "".join(f"{name}{i}\n" for i in range(25_000)))
+            archive.writestr("empty.txt", "")
+    spark.dataSource.register(gtfs_static._zip_members())
+    paths = json.dumps([f"file:{tmp_path}/a.zip", f"file:{tmp_path}/b.zip"])
+    records = spark.read.format("zip_members").option("archives", paths).load()
+    tasks = records.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("archive", "member").alias("members"), F.count("*").alias("n")).collect()
+    assert len(tasks) == 5 and all((t["members"], t["n"]) == (1, 25_001) for t in tasks)
+    tables = gtfs_static.scan_zip(spark, str(tmp_path), at())
+    assert {name: t.count() for name, t in tables.items()} == {"stops": 50_000, "trips": 50_000, "shapes": 25_000}
+
+
 def test_text_members_and_snapshots(spark, tmp_path, rows):
     folder = tmp_path / "set"
     folder.mkdir()

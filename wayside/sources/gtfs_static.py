@@ -5,14 +5,18 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
+import itertools
+import json
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from wayside.shipping import ship_package
-from wayside.storage import TableStore, settle
+from wayside.sources import feed_parts
+from wayside.storage import TableStore, qualified, settle
 
 _CELL_ROWS = 10_000
 
@@ -53,15 +57,15 @@ def land_static(
 def scan_zip(spark: SparkSession, path: str, ingested_at: Column) -> dict[str, DataFrame]:
     """The tables of a zipped set, by member name.
 
-    A zip cannot be split, so each archive is unpacked by one task, streaming its
-    records out in small batches. They are written once, by member, and every table
-    reads its own part; the driver sees only the header lines.
+    Every text member of every archive is a partition of its own, so a task unpacks one
+    member and none reads an archive whole. Records are written once, by member, and every
+    table reads its own part; the driver sees only the header lines.
     """
     ship_package(spark)
-    zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    records = zips.select("path", "content").mapInPandas(
-        _unzip, "archive string, member string, position bigint, cells array<string>"
-    )
+    spark.dataSource.register(_zip_members())
+    zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(qualified(spark, path))
+    archives = sorted(r["path"] for r in zips.select("path").collect())
+    records = spark.read.format("zip_members").option("archives", json.dumps(archives)).load()
     records = settle(records, "zip-records", "member")
     headers: dict[str, list[str]] = {}
     for row in records.where("position = 0").select("member", "cells").distinct().collect():
@@ -70,28 +74,59 @@ def scan_zip(spark: SparkSession, path: str, ingested_at: Column) -> dict[str, D
     return {member: _zip_table(records, member, columns, ingested_at) for member, columns in headers.items()}
 
 
+def _zip_members() -> type[DataSource]:
+    """A source with a partition for every text member of some archives.
+
+    Planning reads each archive's directory only. The classes are made here so that they
+    travel with the query.
+    """
+
+    class Member(InputPartition):
+        def __init__(self, archive: str, name: str):
+            self.archive, self.name = archive, name
+
+    class Members(DataSourceReader):
+        def __init__(self, archives: list[str]):
+            self.archives = archives
+
+        def partitions(self):
+            found = []
+            for archive in self.archives:
+                with feed_parts.open_file(archive) as file, zipfile.ZipFile(file) as directory:
+                    found += [Member(archive, n) for n in directory.namelist() if n.endswith(".txt")]
+            return found
+
+        def read(self, partition):
+            with feed_parts.open_file(partition.archive) as file, zipfile.ZipFile(file) as archive, archive.open(partition.name) as raw:
+                yield from _records(partition.archive, partition.name[: -len(".txt")], raw)
+
+    class ZipMembers(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "zip_members"
+
+        def schema(self) -> str:
+            return "archive string, member string, position bigint, cells array<string>"
+
+        def reader(self, schema):
+            return Members(json.loads(self.options["archives"]))
+
+    return ZipMembers
+
+
 def _zip_table(records: DataFrame, member: str, columns: list[str], ingested_at: Column) -> DataFrame:
     cells = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(columns)]
     rows = records.where((F.col("member") == member) & (F.col("position") > 0))
     return rows.select(*cells, ingested_at.alias("_ingested_at"))
 
 
-def _unzip(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                texts = [n for n in archive.namelist() if n.endswith(".txt")]
-                for name in texts:
-                    with archive.open(name) as raw:
-                        yield from _records(path, name[: -len(".txt")], raw)
-
-
-def _records(path: str, member: str, raw) -> Iterator[pd.DataFrame]:
-    held: list[tuple] = []
-    for position, cells in enumerate(csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))):
-        held.append((path, member, position, [cell or None for cell in cells]))
-        if len(held) == _CELL_ROWS:
-            yield pd.DataFrame(held, columns=["archive", "member", "position", "cells"])
-            held = []
-    if held:
-        yield pd.DataFrame(held, columns=["archive", "member", "position", "cells"])
+def _records(path: str, member: str, raw) -> Iterator[pa.RecordBatch]:
+    lines = enumerate(csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline="")))
+    while held := list(itertools.islice(lines, _CELL_ROWS)):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([path] * len(held)), pa.array([member] * len(held)), pa.array([i for i, _ in held], pa.int64()),
+                pa.array([[cell or None for cell in cells] for _, cells in held], pa.list_(pa.string())),
+            ],
+            ["archive", "member", "position", "cells"],
+        )
