@@ -27,6 +27,6 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from registry import functions, models, quality, serving, sinks, sources, streaming  # noqa: F401
+    from registry import daily, functions, models, quality, serving, sinks, sources, streaming  # noqa: F401
 
     return QUERIES, ORACLES

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from registry.inputs import Landed, model
-from wayside.operators import serving
+from wayside.operators import dimensions, intermediate, marts, serving, staging
+from wayside.plans import daily
 from wayside.plans.lakehouse import MODELS
+from wayside.schemas import SILVER
 from wayside.sources import landing, open_data
-from wayside.storage import TableStore
+from wayside.storage import TableStore, settle
 
 DATA = "/root/testdata/sf0.001"
 
@@ -99,3 +102,36 @@ def test_written_days_are_split_and_merged_by_size(spark, tmp_path):
     assert rows == store.read("fact").count()
     files = list((tmp_path / "fact").glob("report_date=*/part-*.parquet"))
     assert len(files) == 30
+
+
+def test_a_day_loaded_again_changes_marts_as_a_full_build_does(spark, tmp_path, rows):
+    """Days that grow, shrink and go, and a new timetable; only the day's folder is read."""
+    routes = spark.createDataFrame([("66", "Chicago"), ("66", "Chicago again")], "route_id string, route_long_name string")
+    dates = dimensions.dates(spark)
+
+    def staged(*reports):
+        columns = ["CTA", "bus", "v", "66", None, 41.9, -87.6, 0, False, None, None]
+        made = []
+        for day, hour, vehicle, route, late in reports:
+            at = dt.datetime(2024, 1, day, hour)
+            made.append((*columns[:2], vehicle, route, *columns[4:8], late, at, at))
+        return staging.vehicle_positions(spark.createDataFrame(made, SILVER["silver_vehicle_positions"]))
+
+    def full(reports, names):
+        hours = intermediate.vehicle_hours(reports)
+        delays, per_day = intermediate.delay_by_route_hour(hours, names), intermediate.daily_transit_delay(hours, names)
+        return {"mart_otp_by_route": marts.otp_by_route(delays), "mart_daily_delay_trend": marts.daily_delay_trend(per_day, dates), "mart_fleet_activity_by_route": marts.fleet_activity_by_route(delays)}
+
+    store = TableStore(spark, str(tmp_path / "parts"))
+    kept = [(2, 9, "1", "66", True), (2, 9, "2", None, None), (3, 8, "1", "66", False)]
+    daily.refresh(store, staged((1, 8, "1", "66", False), *kept))
+    now = staged((1, 8, "1", "66", False), (1, 8, "3", "9", True), (1, 23, "1", "66", True), *kept[:2])
+    daily.refresh(store, now, [dt.date(2024, 1, 1)])
+    daily.refresh(store, now, [dt.date(2024, 1, 3)])
+    for names in (routes, routes.limit(0)):
+        merged = daily.delay_marts(store, names, dates)
+        for name, wanted in full(now, names).items():
+            assert rows(merged[name], *wanted.columns) == rows(wanted)
+    by_day = settle(now, "by-day", "report_date")
+    one = plan_of(by_day.where(F.col("report_date").isin([dt.date(2024, 1, 1)])))
+    assert re.search(r"PartitionFilters: \[[^\]]*report_date", one)
