@@ -7,8 +7,12 @@ a full bitmap lets through.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayside.llm.batches import by_batch
+from wayside.storage import settle
+
 BITS = 1 << 24
 
 
@@ -27,3 +31,26 @@ def passing(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of some longs may be in the bitmap."""
     bit = keys & (BITS - 1)
     return (words[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
+def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of df whose id is not among `ids`, a frame of that one column; rows without an id stay.
+
+    Rows that cannot be among them never enter a shuffle: only those that pass the bitmap meet
+    the ids in a join, which decides. Texts of the rest are read and passed on.
+    """
+    ids = settle(ids.distinct(), "ids")
+    held = df.sparkSession.sparkContext.broadcast(bitmap(ids, F.xxhash64(id_col)))
+    key = "_key"
+    while key in df.columns:
+        key += "_"
+
+    def where(wanted: bool):
+        def pick(batches):
+            for batch in batches:
+                among = passing(held.value, batch.column(batch.num_columns - 1).to_numpy())
+                yield batch.filter(pa.array(among == wanted)).drop_columns([key])
+
+        return by_batch(df.withColumn(key, F.xxhash64(id_col)), pick, df.schema)
+
+    return where(False).unionByName(where(True).join(ids, id_col, "left_anti").select(df.columns))
