@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayside.llm import chosen_path, leaks, pieces, skip_chain, subword
+from wayside.llm.filters import without
 from wayside.llm.queries import table, vocabulary
 from wayside.storage import settle
 
@@ -30,13 +31,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents alike the one with the smallest id stays; null and empty texts are like nothing and stay."""
     return chosen_path.without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without an id stay: nothing can be said of them."""
-    held = leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    held = leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id")
+    return without(docs, held)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +50,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds n_tokens and ids to every row; a null text has the ids of an empty one."""
     return pieces.with_pieces(docs, vocabulary("piece_bpe_32k.model"))
 
 
