@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from wayside.operators import quality as q, uniqueness
+from wayside.operators import check_states, quality as q, uniqueness
 from wayside.plans.rules import ASSERTIONS, SUITES, TABLE_RULES
 from wayside.operators.silver import AGENCY
+from wayside.storage import TableStore
 
 
 def test_declared_counts():
@@ -125,3 +127,36 @@ def test_unique_texts_are_shuffled_as_fingerprints(spark):
     assert [(r.violations, r.total, r.passed) for r in result] == [(0, 100, True)] * 2
     plan = df.groupBy(F.xxhash64("k").alias("mark")).count()._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(mark" in plan or "hashpartitioning(_groupingexpression" in plan
+
+
+def test_states_of_days_merge_into_the_whole_result(spark, tmp_path):
+    """Days in any order, loaded again, grown and gone; keys that repeat within a day, between days and never."""
+    draw = random.Random(9)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    rules = [q.not_null("k"), q.unique("k"), q.unique("n"), q.unique("u"), q.accepted_values("k", ["k1", "k2"]), q.in_range("n", 0, 40), q.relationships("k", "p", "key")]
+    parents = {"p": spark.createDataFrame([("k1",), ("k2",), ("k2",), (None,)], "key string")}
+
+    def made(n):
+        rows = [(draw.choice([*days, None]), draw.choice(["k1", "k2", "k3", None]), draw.choice([None, *range(60)]), f"u{i}") for i in range(n)]
+        return spark.createDataFrame(rows, "day date, k string, n int, u string")
+
+    store = TableStore(spark, str(tmp_path))
+
+    def merged(df):
+        return sorted(map(tuple, check_states.results(store, "t", df, rules, "day", parents).collect()))
+
+    def whole(df):
+        return sorted(map(tuple, q.check_table("t", rules, {"t": df, **parents}).collect()))
+
+    first = made(80)
+    check_states.refresh(store, "t", first, rules, "day")
+    assert merged(first) == whole(first)
+    again = made(50).where(F.col("day") == days[0])
+    now = first.where(F.coalesce(~F.col("day").isin(days[:2]), F.lit(True))).unionByName(again)
+    for _ in range(2):
+        check_states.refresh(store, "t", now, rules, "day", days[:2])
+    assert merged(now) == whole(now)
+    clean = now.where("false")
+    check_states.refresh(store, "t", clean, rules, "day", days)
+    left = now.where("day is null")
+    assert merged(left) == whole(left)
