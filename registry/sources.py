@@ -253,6 +253,12 @@ def reference_records(spark, sf_dir):
     return open_data.scan(spark, raw_files.open_data_pages(spark, sf_dir), raw_files.loaded_at(), ddl)
 
 
+@query("src_12_undeclared_fields", _ROAD)
+def found_records(spark, sf_dir):
+    """The same pages without any schema, read once; the nested point is found and dropped."""
+    return open_data.scan_found(spark, raw_files.open_data_pages(spark, sf_dir), raw_files.loaded_at())
+
+
 @query("src_13_weather_columnar_json", compose(f"""
 SELECT date, max(COLUMNS(* EXCLUDE (date, _ingested_at))), {_AT} FROM x_weather
 WHERE date BETWEEN DATE '2024-01-03' AND DATE '2024-02-05' GROUP BY date

@@ -201,6 +201,17 @@ def test_busiest_stops_only_lists_known_stops(spark, rows):
     assert [tuple(r) for r in got.collect()] == [("a", "A", 41.0, -87.0, 3, 2), ("b", "B", 41.5, -87.5, 1, 1)]
 
 
+def test_the_window_of_the_recent_fleet(spark, rows):
+    """Reports 6 and 29 minutes old are recent in half an hour, not in five minutes."""
+    newest = dt.datetime(2024, 1, 1, 0, 10)
+    ages = [0, 5, 6, 29, 31]
+    made = [("bus", str(m), 41.9, -87.6, False, newest - dt.timedelta(minutes=m)) for m in ages]
+    frame = spark.createDataFrame(made, "mode string, route_id string, lat double, lon double, is_delayed boolean, report_ts timestamp_ntz")
+    frame = frame.withColumn("report_date", F.to_date("report_ts"))
+    assert rows(serving.recent_fleet(frame), "route_id") == [("0",), ("5",)]
+    assert rows(serving.recent_fleet(frame, 30), "route_id") == [("0",), ("29",), ("5",), ("6",)]
+
+
 def test_recent_fleet_and_map_points(spark, rows):
     cols = "mode string, route_id string, lat double, lon double, is_delayed boolean, report_ts timestamp_ntz"
     at = [("bus", "1", 41.0, -87.0, False, T0), ("bus", "2", float("nan"), -87.0, None, _minutes(-5)), ("bus", "3", None, -87.0, True, _minutes(-6))]

@@ -148,6 +148,23 @@ def test_text_members_and_snapshots(spark, tmp_path, rows):
     assert store.read("cta/gtfs_static/shapes").count() == 4
 
 
+def test_undeclared_fields_are_found_in_one_read(spark, tmp_path, rows):
+    """Later pages bring new fields, other kinds and lists of records; objects go, lists stay."""
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "a.json").write_text('{"id": 1, "n": 1.5, "point": {"x": 1}, "mixed": 1, "odd name": true}\n\n')
+    (pages / "b.json").write_text('[{"id": 2, "new": "late", "list": [1, 2]}, {"id": null, "mixed": "text", "list": null}]\nnot json\n')
+    table = open_data.scan_found(spark, str(pages), at())
+    kinds = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+    assert kinds == {"id": "bigint", "n": "double", "mixed": "string", "odd name": "boolean", "new": "string", "list": "array<bigint>", "_ingested_at": "timestamp_ntz"}
+    assert rows(table, "id", "n", "mixed", "`odd name`", "new", "list") == rows(spark.createDataFrame(
+        [(1, 1.5, "1", True, None, None), (2, None, None, None, "late", [1, 2]), (None, None, "text", None, None, None), (None,) * 6],
+        "id long, n double, mixed string, o boolean, new string, list array<long>"))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.json").write_text("\n")
+    assert open_data.scan_found(spark, str(tmp_path / "none"), at()).columns == ["_ingested_at"]
+
+
 def test_newest_snapshot_without_any(spark, tmp_path):
     with pytest.raises(LookupError):
         landing.newest_snapshot(spark, str(tmp_path / "none"))

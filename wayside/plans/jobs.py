@@ -73,7 +73,7 @@ def land_congestion(spark: SparkSession, pages: str, bronze: TableStore, at: dt.
 
 
 def land_traffic_counts(spark: SparkSession, pages: str, bronze: TableStore, at: dt.datetime) -> int:
-    return bronze.rebuild(TRAFFIC_COUNTS, open_data.scan(spark, pages, _stamp(at)))
+    return bronze.rebuild(TRAFFIC_COUNTS, open_data.scan_found(spark, pages, _stamp(at)))
 
 
 def land_weather(
