@@ -10,7 +10,7 @@ from registry import query
 from registry.inputs import Landed, built
 from registry.parts import compose
 from wayside.operators import sinks
-from wayside.storage import TableStore, fresh_folder
+from wayside.storage import TableStore, VersionedStore, fresh_folder
 
 _EXPORTED = {
     "pipeline_freshness": "x_freshness",
@@ -82,6 +82,21 @@ def rebuilt(spark, sf_dir):
     return store.read("bus")
 
 
+@query("snk_03_versioned_rebuild", compose("""
+SELECT 'before' AS seen, count(*) AS reports FROM x_bus UNION ALL SELECT 'after', count(*) FROM x_bus WHERE dly
+"""))
+def rebuilt_by_version(spark, sf_dir):
+    """A reader that opened the table before the second build still finds all of the first."""
+    store = VersionedStore(spark, fresh_folder(spark, "versions"))
+    bus = Landed(spark, sf_dir)["bus_positions"]
+    store.rebuild("bus", bus)
+    before = store.read("bus")
+    store.rebuild("bus", bus.where("dly"))
+    seen = {"before": before, "after": store.read("bus")}
+    counts = [f.agg(F.count(F.lit(1)).alias("reports")).select(F.lit(name).alias("seen"), "reports") for name, f in seen.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query("snk_04_dated_append", compose("SELECT *, _ingested_at::DATE AS dt FROM x_bus"))
 def appended(spark, sf_dir):
     """Two loads of the same days add up."""

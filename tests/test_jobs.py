@@ -128,3 +128,28 @@ def test_a_failed_rebuild_leaves_the_last_table(spark, tmp_path):
     assert store.read("t").count() == 5
     assert store.rebuild("t", store.read("t").where("id > 2")) == 2
     assert store.read("t").count() == 2
+
+
+def test_readers_of_a_versioned_table_always_find_a_whole_one(spark, tmp_path, monkeypatch):
+    from wayside import storage
+
+    store = storage.VersionedStore(spark, str(tmp_path))
+    for n in (3, 5):
+        assert store.rebuild("t", spark.range(n)) == n and store.read("t").count() == n
+    opened, real = store.read("t"), storage.write_bytes
+
+    def lost(*args):
+        # The new version is written, but the job is lost before it counts.
+        assert store.read("t").count() == 5
+        raise OSError("lost")
+
+    monkeypatch.setattr(storage, "write_bytes", lost)
+    with pytest.raises(OSError, match="lost"):
+        store.rebuild("t", spark.range(9))
+    assert store.read("t").count() == 5
+    monkeypatch.setattr(storage, "write_bytes", real)
+    store.rebuild("t", spark.range(7).withColumn("dt", F.col("id") % 2), ["dt"])
+    assert opened.count() == 5 and store.read("t").count() == 7
+    store.reload_days("t", spark.range(1).withColumn("dt", F.lit(0).cast("long")), ["dt"])
+    assert store.read("t").count() == 4 and store.exists("t")
+    assert len(list((tmp_path / "t" / "_versions").glob("0*"))) == 2

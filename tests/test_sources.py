@@ -148,6 +148,17 @@ def test_text_members_and_snapshots(spark, tmp_path, rows):
     assert store.read("cta/gtfs_static/shapes").count() == 4
 
 
+def test_pages_follow_each_other_in_time(spark, tmp_path, monkeypatch):
+    """Over all files in the order of their names, each of a page at most."""
+    monkeypatch.setattr(open_data, "PAGE_ROWS", 20)
+    rows = spark.range(500).repartition(7).select((F.col("id") % 97).cast("string").alias("time"), "id")
+    assert open_data.land_pages(rows.withColumn("time", F.lpad("time", 3, "0")), str(tmp_path / "pages")) == 500
+    files = sorted((tmp_path / "pages").glob("part-*.parquet"))
+    times = [spark.read.parquet(str(f)).toPandas()["time"].tolist() for f in files]
+    assert len(files) >= 25 and max(map(len, times)) <= 20
+    assert sum(times, []) == sorted(sum(times, []))
+
+
 def test_undeclared_fields_are_found_in_one_read(spark, tmp_path, rows):
     """Later pages bring new fields, other kinds and lists of records; objects go, lists stay."""
     pages = tmp_path / "pages"

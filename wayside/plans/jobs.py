@@ -18,7 +18,7 @@ from wayside.plans.rules import ASSERTIONS, BLOCKING_SUITES, SUITES, TABLE_RULES
 from wayside.schemas import BRONZE
 from wayside.session import cluster_session
 from wayside.sources import bus_feed, gtfs_rt, gtfs_static, landing, open_data, train_feed, weather
-from wayside.storage import TableStore, make_folder
+from wayside.storage import TableStore, VersionedStore, make_folder
 from wayside.streaming import feeds, positions, states
 
 # Folders of the landed feeds, and the suite each newest poll must pass.
@@ -210,7 +210,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", help="root of the exported files or of the live tables")
     args = parser.parse_args(argv)
     spark = cluster_session(f"wayside-{args.job}")
-    store = {name: TableStore(spark, getattr(args, name)) for name in ("bronze", "lake", "out") if getattr(args, name)}
+    # Landed feeds and exports are folders that others read by their path; tables of the lake are read through the store.
+    kinds = {"bronze": TableStore, "lake": VersionedStore, "out": TableStore}
+    store = {name: kind(spark, getattr(args, name)) for name, kind in kinds.items() if getattr(args, name)}
     if args.job == "land":
         land(spark, args.feed, args.source, store["bronze"], args.at or dt.datetime.now().replace(microsecond=0), args.days).show(truncate=False)
     elif args.job == "build":

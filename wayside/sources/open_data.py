@@ -73,7 +73,11 @@ def congestion_slice(records: DataFrame, since: str | None = SINCE) -> DataFrame
 
 
 def land_pages(rows: DataFrame, path: str) -> int:
-    """Write part files of at most one page each, in time order; gives the row count."""
-    frame, seen = counted(rows.sortWithinPartitions("time"))
+    """Write part files of at most one page each, in time order over the whole load; gives the row count.
+
+    Times are dealt out by ranges, so files in the order of their names follow each other; a
+    time that many rows share takes several ranges.
+    """
+    frame, seen = counted(rows.repartitionByRange("time", F.xxhash64(*rows.columns)).sortWithinPartitions("time"))
     frame.write.mode("overwrite").option("maxRecordsPerFile", PAGE_ROWS).parquet(path)
     return seen.get["rows"]

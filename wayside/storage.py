@@ -90,7 +90,7 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 class TableStore:
-    """Parquet tables below one root."""
+    """Parquet tables below one root, each a plain folder; a rebuilt one is moved into the old one's place."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -132,14 +132,46 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if (mode, overwrite) == ("overwrite", "static"):
-            # The old table stays until the new one is complete.
-            staged = f"{self.root}/_staged-{uuid.uuid4().hex}"
-            writer.parquet(staged)
-            _swap(self.spark, staged, self.path(name))
+            self._replace(name, writer)
         else:
             writer.mode(mode).parquet(self.path(name))
         return seen.get["rows"]
 
+    def _replace(self, name: str, writer) -> None:
+        # The old table stays until the new one is complete.
+        staged = f"{self.root}/_staged-{uuid.uuid4().hex}"
+        writer.parquet(staged)
+        _swap(self.spark, staged, self.path(name))
+
+
+class VersionedStore(TableStore):
+    """Tables whose readers always find a whole one, on an object store too.
+
+    Every rebuild writes a folder of its own, and counts once it is complete: an empty file with
+    its number appears, and readers take the highest number. Nothing is renamed or
+    replaced. The version before the newest stays for jobs that still read it; older ones go.
+    """
+
+    def _versions(self, name: str) -> list[str]:
+        files, path = _hadoop(self.spark, f"{self.root}/{name}/_versions")
+        return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+    def path(self, name: str) -> str:
+        """The folder of the newest complete version."""
+        found = self._versions(name)
+        return f"{self.root}/{name}/{found[-1]}" if found else f"{self.root}/{name}"
+
+    def _replace(self, name: str, writer) -> None:
+        found = self._versions(name)
+        number = int(found[-1].split("-")[0]) + 1 if found else 1
+        version = f"{number:012}-{uuid.uuid4().hex}"
+        writer.parquet(f"{self.root}/{name}/{version}")
+        write_bytes(self.spark, f"{self.root}/{name}/_versions/{version}", b"")
+        for old in found[:-1]:
+            for gone in (f"{name}/_versions/{old}", f"{name}/{old}"):
+                files, path = _hadoop(self.spark, f"{self.root}/{gone}")
+                files.delete(path, True)
+
 
 def _hadoop(spark: SparkSession, path: str):
     """The file system and path object by which Spark itself reaches a path."""
