@@ -94,6 +94,21 @@ def test_neighbours_of_odd_vectors(spark):
     assert one_bit.nearest(frame, frame.limit(0), k=3).count() == 0
 
 
+def test_every_length_has_its_own_index(spark):
+    """One vector of another length, also at the smallest id, takes nothing from the rest; equal to brute force for each length."""
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(1 if i in (0, 7) else 3 if i % 4 == 0 else 5).tolist()) for i in range(150)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = one_bit.nearest(frame, frame.where("vec_id % 10 = 0"), k=4, block=20, per_block=5)
+    wanted = []
+    for q, v in rows:
+        if q % 10 == 0:
+            near = sorted(((sum(map(lambda a, b: a * b, v, w)), i) for i, w in rows if i != q and len(w) == len(v)), key=lambda s: (-s[0], s[1]))
+            wanted += [(q, rank, i) for rank, (_, i) in enumerate(near[:4], 1)]
+    assert sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id").collect()) == sorted(wanted)
+    assert found.where("query_id = 0").count() == 1
+
+
 # --- licenses --------------------------------------------------------------------
 
 

@@ -40,8 +40,7 @@ _FOUND = "query_id long, vec_id long, score double"
 def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Ids and vectors that take part: with an id, not null, not zero, all parts finite numbers.
 
-    Of rows that repeat an id the smallest vector counts. Vectors must have the length of
-    the vector with the smallest id; others take no part.
+    Of rows that repeat an id the smallest vector counts.
     """
     parts = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), parts.alias("v")).where("vec_id is not null and size(v) > 0")
@@ -196,15 +195,31 @@ def nearest(
     all candidates if there are fewer. The score is the inner product of the original
     vectors in double precision. Which rows take part: see `usable`; an empty table or no
     usable query gives no rows. Many equal vectors tie within the bounds and are all
-    compared, in the task of their block.
+    compared, in the task of their block. A query meets the vectors of its own length: every
+    length that occurs among the queries has an index of its own, one after the other.
     """
-    spark = df.sparkSession
     rows = settle(usable(df, id_col, vector_col), "vectors")
+    asked = settle(usable(queries, id_col, vector_col), "queries")
+    lengths = [r[0] for r in asked.select(F.size("v")).distinct().collect()]
+    found = None
+    for d in sorted(lengths):
+        same = F.size("v") == d
+        of_length = _found(rows.where(same), asked.where(same), k, block, per_block, epsilon)
+        if of_length is not None:
+            found = of_length if found is None else found.unionByName(of_length)
+    if found is None:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _found(rows: DataFrame, asked: DataFrame, k: int, block: int, per_block: int, epsilon: float) -> DataFrame | None:
+    """(query_id, vec_id, score): the nearest of each block, of vectors and queries of one length."""
     built = build_index(rows, block)
     if built is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return None
     index, d, centre, blocks = built
-    asked = usable(queries, id_col, vector_col).where(F.size("v") == d)
     packed = _packed_queries(asked, d, per_block).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(batches):
@@ -222,7 +237,4 @@ def nearest(
                     )
 
     pairs = index.join(packed, "g").select("ids", "codes", "scalars", "vectors", "query_ids", "query_vectors")
-    found = by_batch(pairs, search, _FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return by_batch(pairs, search, _FOUND)
