@@ -342,15 +342,15 @@ def with_pieces(df: DataFrame, model: str | Path, text_col: str = "text") -> Dat
     def work(batches):
         codec = PieceCodec(held.value)
         for batch in batches:
-            ids = []
-            column = batch.column(place).fill_null("")
-            for at in range(0, len(column), 500):
-                plain = [codec.normalizer.apply(t)[0] for t in column.slice(at, 500).to_pylist()]
+            # Passed on in small parts, so that the ids of a large batch are never held together.
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                plain = [codec.normalizer.apply(t)[0] for t in part.column(place).fill_null("").to_pylist()]
                 codec.learn(plain)
-                ids += [np.frombuffer(b"".join([c.ids for c in codec.chunks(p)]), np.int32) for p in plain]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
-                [*batch.schema.names, "n_tokens", "ids"],
-            )
+                ids = [np.frombuffer(b"".join([c.ids for c in codec.chunks(p)]), np.int32) for p in plain]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+                    [*batch.schema.names, "n_tokens", "ids"],
+                )
 
     return by_batch(kept, work, schema)
