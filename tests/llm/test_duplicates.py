@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wayside.llm import chosen_path, compact, components, queries
@@ -185,6 +186,58 @@ def test_a_passage_inside_other_text(docs, prose):
         assert " ".join(w[r["start_word"] : r["end_word"]]) == passage.lower()
 
 
+def test_later_copies_beside_a_shortened_first_one(docs, prose):
+    """The first document holds 47 of 52 words, two later ones all of them: their repeat is a link of its own."""
+    rows = []
+    for i in range(20):
+        passage = prose(52, 1000 + i)
+        rows += [(100 * i + k, f"{prose(30, 2000 + 9 * i + k)} {part} {prose(30, 5000 + 9 * i + k)}") for k, part in enumerate([" ".join(passage.split()[3:50]), passage, passage])]
+    found = {(r["doc_id"], r["first_doc"]) for r in compact.repeats(docs(*rows)).collect()}
+    assert {(100 * i + 2, 100 * i + 1) for i in range(20)} <= found
+
+
+def test_windows_of_a_key_all_meet():
+    """Classes by content: copies meet the first one, the first ones each other; in one pass, and as tasks by blocks."""
+    draw = random.Random(5)
+    rows = sorted((key, draw.randrange(40), draw.randrange(12), 8 * draw.randrange(5000), (9 << 32) | 9) for key in range(4) for _ in range(150 if key < 3 else 900))
+    first, wanted = {}, set()
+    for key, content, doc, *_ in rows:
+        first.setdefault((key, content), doc)
+    for key, content, doc, *_ in rows:
+        wanted |= {(max(doc, d), min(doc, d)) for (k, c), d in first.items() if k == key and d != doc and (c == content or doc == first[key, content])}
+    names = ["key", "content", "doc_id", "centre", "reach"]
+    for size in (7, 64, 5000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names) for i in range(0, len(rows), size)]
+        met = {(a, b) for batch in compact._by_key(iter(batches), True) for a, b in zip(batch["doc_id"].to_pylist(), batch["first_doc"].to_pylist())}
+        assert wanted <= met
+
+
+def test_blocks_of_a_hot_key_meet_like_one_group():
+    draw = np.random.default_rng(1)
+    units = [np.arange(900), np.zeros(900, bool), draw.permutation(900), 8 * draw.integers(0, 999, 900), np.full(900, (9 << 32) | 9)]
+    units += [units[2], units[3], units[4]]
+    again = [u[:40].copy() for u in units]
+    again[1][:] = True
+    pairs = lambda found: sorted((a, b) for m in found for a, b in zip(m["doc_id"].to_pylist(), m["first_doc"].to_pylist()))
+    whole = pairs(compact._each_with_each(units, np.array([0]), np.array([900]))) + pairs(compact._crossed(again, units))
+    tasks: dict[int, dict[int, list]] = {}
+    for batch in compact._dealt(3, units, again):
+        assert len(batch) <= compact.BLOCK
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        tasks.setdefault(columns[0][0], {})[columns[1][0]] = columns[2:]
+    split = []
+    for sides in tasks.values():
+        split += pairs(compact._crossed(sides[0], sides[1]) if 1 in sides else compact._each_with_each(sides[0], np.array([0]), np.array([len(sides[0][0])])))
+    assert sorted(split) == sorted(whole)
+
+
+def test_many_diagonals_between_two_meetings(docs, prose):
+    """Two meetings of one passage with twelve overlapping ones of other diagonals between them."""
+    rows = [(2, 1, 0, 10, 90, 0), *[(2, 1, 1000 * (i + 1), 11 + i, 90, 0) for i in range(12)], (2, 1, 0, 40, 90, 1)]
+    table = docs().sparkSession.createDataFrame(rows, ", ".join(f"{c} long" for c in compact._MEETING))
+    assert [(r["low"], r["high"]) for r in compact._candidates(table).collect()] == [(10, 90)]
+
+
 def test_repeats_of_odd_rows(odd, docs, prose):
     assert compact.repeats(odd.withColumn("pair", F.lit("x"))).count() == 0
     assert compact.repeats(docs()).count() == 0
