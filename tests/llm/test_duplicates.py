@@ -94,6 +94,38 @@ def test_pairs_inside_a_large_templated_group(docs, prose, monkeypatch):
     check(chosen_path.near_duplicates(docs(*rows), 3, 85).collect(), rows, 3, 85, 100)
 
 
+def test_large_nodes_of_the_last_level(spark, monkeypatch):
+    """Every root holds all documents and no level follows: twins that no chosen document is near to meet by blocks."""
+    monkeypatch.setattr(chosen_path, "NODE", 4)
+    monkeypatch.setattr(chosen_path, "DEPTH", 0)
+    draw = np.random.default_rng(3)
+    table = draw.integers(0, 2**32, (40, chosen_path.PLACES), dtype=np.uint32)
+    roots = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([table[0].tobytes()], pa.binary())], ["rep", "signature"])
+    held = {p for b in chosen_path._roots(1 / (0.85 * chosen_path.PLACES))(iter([roots])) for p in b["path"].to_pylist()}
+    for place in range(chosen_path.PLACES):
+        changed = table[0].copy()
+        changed[place] += 1
+        one = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([changed.tobytes()], pa.binary())], ["rep", "signature"])
+        if {p for b in chosen_path._roots(1 / (0.85 * chosen_path.PLACES))(iter([one])) for p in b["path"].to_pylist()} != held:
+            table[:, place] = table[0, place]
+    rows = [(2 * i + twin, table[i].tobytes(), table[i].astype(np.uint8).tobytes()) for i in range(40) for twin in (0, 1)]
+    reps = spark.createDataFrame(rows, "rep long, signature binary, short binary")
+    found = components.components(chosen_path._gather(reps, 0.85)).collect()
+    assert {(2 * i + 1, 2 * i) for i in range(40)} <= {(r["a"], r["b"]) for r in found}
+
+
+def test_links_to_all_chosen_documents_that_are_near():
+    """Near the first chosen document and like the second: both links stay, as the second's own group hangs on it."""
+    table = np.zeros((3, chosen_path.PLACES), np.uint32)
+    table[1, 80:], table[2, :8] = 1, 2  # shares of 0.62 and 0.94 with the document
+    row = lambda i: pa.array([table[i].tobytes()], pa.binary())
+    columns = {"path": pa.array([1]), "rep": pa.array([9]), "signature": row(0)}
+    for i in range(chosen_path.PIVOTS):
+        columns |= {f"rep{i}": pa.array([5 + i % 2]), f"signature{i}": row(1 + i % 2)}
+    (out,) = chosen_path._large_nodes(0.6, 0.85, 0.01, False)(iter([pa.RecordBatch.from_pydict(columns)]))
+    assert {(a, b) for kind, a, b in zip(*(c.to_pylist() for c in out.columns)) if kind == 0} == {(9, 5), (6, 5)}
+
+
 def test_near_duplicates_of_odd_rows(odd, docs):
     clash = odd.withColumn("component_id", F.lit("x")).withColumn("rep", F.lit(1))
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]

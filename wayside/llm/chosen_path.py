@@ -5,7 +5,8 @@ classes several independent trees are grown: a node chooses a few of the places
 documents' min-wise signatures, by a hash of its path, and sends each document to one child
 for every chosen place, by the document's value there. Similar sets share a path in some
 tree. Small nodes compare all their documents; in large ones every document is compared
-with a few of the node's documents, and those that are not close to one of them go on.
+with a few of the node's documents, and those that are not close to one of them go on. Nodes
+that are still large at the last level are compared by every pair of their blocks.
 
 Comparisons of signatures only gather documents that might be linked. Links are confirmed on
 the full sets: a gathered group is compared exhaustively, through the shingles that two
@@ -179,29 +180,44 @@ def _small_nodes(least: float):
     return work
 
 
-def _large_nodes(least: float, close: float, share: float):
-    """A link to one of the node's chosen documents (kind 0); those close to none of them go on to children (kind 1)."""
+def _large_nodes(least: float, close: float, share: float, last: bool):
+    """Links to the node's chosen documents (kind 0); those close to none of them go on to children, or stay in a last node (kind 1)."""
 
     def work(batches):
         for batch in batches:
             path = batch.column("path").to_numpy().view(np.uint64)
             reps, table = batch.column("rep").to_numpy(), _table(batch.column("signature"))
-            best, hung = np.zeros(len(reps)), np.full(len(reps), -1)
-            others = [batch.column(f"rep{i}").to_numpy() for i in range(PIVOTS)]
+            best, hung, between = np.zeros(len(reps)), np.full(len(reps), -1), []
+            others = np.stack([batch.column(f"rep{i}").to_numpy() for i in range(PIVOTS)])
             for i in range(PIVOTS):
-                alike = (table == _table(batch.column(f"signature{i}"))).mean(1)
-                best = np.maximum(best, np.where(others[i] == reps, 0, alike))
+                alike = np.where(others[i] == reps, 0, (table == _table(batch.column(f"signature{i}"))).mean(1))
+                best = np.maximum(best, alike)
+                # To all it is near, as what is alike may hang on any of them: those after the first hang on the first.
+                more = np.flatnonzero((alike >= least) & (hung >= 0) & (others[i] != others[hung, np.arange(len(reps))]))
+                between.append(np.stack([others[i, more], others[hung[more], more]]))
                 hung[(hung < 0) & (alike >= least)] = i
             near = np.flatnonzero(hung >= 0)
-            out = [(np.zeros(len(near), np.int32), reps[near], np.stack(others)[hung[near], near])]
+            out = [(np.zeros(len(near), np.int32), reps[near], others[hung[near], near])]
+            chosen = np.unique(np.concatenate(between, axis=1), axis=1)
+            out.append((np.zeros(chosen.shape[1], np.int32), *chosen))
             on = np.flatnonzero(best < close)
-            at, paths = _children(path[on], table[on], share)
+            at, paths = (np.arange(len(on)), path[on]) if last else _children(path[on], table[on], share)
             out.append((np.ones(len(at), np.int32), reps[on][at], signed(paths)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["kind", "a", "b"])
 
     return work
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Documents of the last nodes (path, rep) dealt into blocks: every two blocks of a node are a path, so that any two meet."""
+    sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    blocks = F.ceil(F.col("size") * 2 / NODE).cast("int")
+    dealt = rows.join(sizes, "path").withColumn("blocks", F.when(F.col("size") > NODE, blocks).otherwise(1))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), "blocks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other != block or blocks = 1")
+    return met.select(F.xxhash64("path", F.least("block", "other"), F.greatest("block", "other")).alias("path"), "rep")
+
+
 def _gather(reps: DataFrame, similarity: float) -> DataFrame:
     """Candidate links (a, b) between representatives, from all trees."""
     share = 1 / (similarity * PLACES)
@@ -213,7 +229,7 @@ def _gather(reps: DataFrame, similarity: float) -> DataFrame:
         small = nodes.where(F.col("size") <= NODE).join(reps, "rep").select("path", "rep", "short")
         compare = _small_nodes(similarity - PAIR_MARGIN)
         found.append(by_batch(small.repartition("path").sortWithinPartitions("path"), compare, "a long, b long"))
-        if level == DEPTH or nodes.where(F.col("size") > NODE).isEmpty():
+        if nodes.where(F.col("size") > NODE).isEmpty():
             break
         large = settle(nodes.where(F.col("size") > NODE).join(reps, "rep").select("path", "rep", "signature"), "large")
         # Mostly the same few of a group of alike documents in every tree, so that its links are few.
@@ -224,10 +240,13 @@ def _gather(reps: DataFrame, similarity: float) -> DataFrame:
             "path", "rep", "signature",
             *[c for i in range(PIVOTS) for c in (F.col(f"p{i}.rep").alias(f"rep{i}"), F.col(f"p{i}.signature").alias(f"signature{i}"))],
         )
-        work = _large_nodes(similarity - PIVOT_MARGIN, similarity, share)
+        work = _large_nodes(similarity - PIVOT_MARGIN, similarity, share, level == DEPTH)
         out = settle(by_batch(met, work, "kind int, a long, b long"), "met")
         found.append(out.where("kind = 0").select("a", "b"))
         rows = out.where("kind = 1").select(F.col("b").alias("path"), F.col("a").alias("rep")).distinct()
+        if level == DEPTH:
+            last = _in_blocks(rows).join(reps, "rep").select("path", "rep", "short")
+            found.append(by_batch(last.repartition("path").sortWithinPartitions("path"), compare, "a long, b long"))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
