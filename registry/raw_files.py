@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from registry.inputs import Landed, _lat, _lon, given, hour_start, is_bus, text
 from wayside.plans.rules import RAIL_LINES
 from wayside.sources.bus_feed import STAMP
+from wayside.sources.open_data import PAGE_ROWS
 from wayside.sources.weather import MEASURES
 from wayside.shipping import ship_package
 from wayside.storage import fresh_folder, open_folder, qualified
@@ -138,7 +139,8 @@ def train_responses(spark, sf_dir, path):
 def open_data_pages(spark, sf_dir, path):
     point = F.struct(F.lit("Point").alias("type"), F.array("start_longitude", "start_latitude").alias("coordinates"))
     rows = Landed(spark, sf_dir)["congestion"].drop("_ingested_at")
-    rows.withColumn("_start_point", point).write.json(path)
+    # Compressed pages can't be split, so each holds at most a page of the provider.
+    rows.withColumn("_start_point", point).write.option("maxRecordsPerFile", PAGE_ROWS).json(path, compression="gzip")
 
 
 @_once

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import datetime as dt
 import math
 
@@ -55,3 +57,19 @@ def test_query_matches_sql(spark, duck, name):
     expected = duck.execute(f"SELECT {quoted} FROM ({ORACLES[name]})").fetchall()
     assert {c: SQL_TYPE[t] for c, t in frame.dtypes} == types
     assert _sorted(frame.select(*columns).collect()) == _sorted(expected)
+
+
+def test_open_data_pages_are_compressed_and_bounded(spark, tmp_path):
+    """Pages are what the open-data queries write most; a compressed file is one task, so it holds one page at most."""
+    from registry import raw_files
+
+    lines = spark.range(900).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id % 7 AS l_suppkey", "cast(id % 4 AS int) AS l_linenumber", "10.0D AS l_quantity", "1.0D AS l_extendedprice",
+        "0.0D AS l_discount", "0.0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'1998-01-01 00:00:00' AS l_shipdate",
+    )
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    folder = raw_files.open_data_pages(spark, str(tmp_path))
+    files = [p for p in Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("part-")]
+    assert files and all(p.name.endswith(".json.gz") for p in files)
+    assert sum(p.stat().st_size for p in files) < 900 * 100
+    assert spark.read.json(folder).count() == 900
