@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -240,14 +241,19 @@ def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _BUILT: dict[tuple[str, str], tuple[dict[str, DataFrame], dict[str, int], TableStore]] = {}
 
 
-def built(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, int], TableStore]:
-    """The whole lake written to shared storage, once per application and scale."""
+def built(spark: SparkSession, sf_dir: str, *names: str) -> tuple[dict[str, DataFrame], dict[str, int], TableStore]:
+    """The named tables of the lake and what they need, written to shared storage, each once per application and scale.
+
+    Without names it is the whole lake.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        store = TableStore(spark, fresh_folder(spark, "lake"))
-        tables, rows = lakehouse.build(spark, Landed(spark, sf_dir), store)
-        _BUILT[key] = (tables, rows, store)
-    return _BUILT[key]
+        _BUILT[key] = {}, {}, TableStore(spark, fresh_folder(spark, "lake"))
+    tables, rows, store = _BUILT[key]
+    made, count = lakehouse.build(spark, ChainMap(dict(tables), Landed(spark, sf_dir)), store, only=names or None)
+    tables.update(made)
+    rows.update(count)
+    return tables, rows, store
 
 
 def rounded(df: DataFrame, *doubles: str, digits: int = 9) -> DataFrame:

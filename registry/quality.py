@@ -68,13 +68,19 @@ def _rule_sql(table: str, rule: quality.Rule) -> str:
     )
 
 
+def _read_by(declared) -> list[str]:
+    """The tables that rules are about, and those their relationships lead to."""
+    parents = {rule.parent for rules in declared.values() for rule in rules if rule.kind == "relationships"}
+    return sorted(parents | {table for table, rules in declared.items() if rules})
+
+
 def _rules(name: str, kind: str) -> None:
     declared = rules_of(kind)
     sql = "\nUNION ALL\n".join(_rule_sql(table, rule) for table, rules in declared.items() for rule in rules)
 
     @query(name, compose(sql))
     def run(spark, sf_dir):
-        tables, _, _ = built(spark, sf_dir)
+        tables, _, _ = built(spark, sf_dir, *_read_by(declared))
         return quality.check_tables(declared, tables)
 
 
@@ -113,7 +119,7 @@ def suite_frame(spark, sf_dir, suite: str) -> DataFrame:
             F.when(F.col("heading") % 6 == 0, 0.0).otherwise(F.col("lat")).alias("lat"),
             F.when(F.col("heading") % 4 == 0, 0.0).otherwise(F.col("lon")).alias("lon"),
         )
-    return built(spark, sf_dir)[0][suite]
+    return built(spark, sf_dir, suite)[0][suite]
 
 
 def _expectation_sql(suite: str, position: int, e: quality.Expectation) -> str:
@@ -171,7 +177,7 @@ _BY_DAY = {"fact_vehicle_position": "report_date", "fact_trip_delay": "report_da
 @query("dq_07_states_by_day", compose("\nUNION ALL\n".join(_rule_sql(t, rule) for t in _BY_DAY for rule in TABLE_RULES.get(t, []))))
 def results_from_states(spark, sf_dir):
     """All rules of the tables by day: states of all days but the last, then of the last; half a day is loaded again."""
-    tables, _, _ = built(spark, sf_dir)
+    tables, _, _ = built(spark, sf_dir, *_BY_DAY, *_read_by({t: TABLE_RULES.get(t, []) for t in _BY_DAY}))
     store, found = TableStore(spark, fresh_folder(spark, "states")), []
     for name, day in _BY_DAY.items():
         rules, table = TABLE_RULES.get(name, []), tables[name]
@@ -201,7 +207,7 @@ _BAD_ROWS = {
 
 
 def _asserted(names, spark, sf_dir, tables=None) -> DataFrame:
-    tables = tables or built(spark, sf_dir)[0]
+    tables = tables or built(spark, sf_dir, *sorted({a.table for a in ASSERTIONS if a.name in names}))[0]
     return reduce(
         DataFrame.unionByName, [a.run(a.name, tables[a.table]) for a in ASSERTIONS if a.name in names]
     )
@@ -276,7 +282,7 @@ SELECT stage, check_name, violations, violations = 0 AS passed FROM (
 """))
 def bad_row_regression(spark, sf_dir):
     """One report at 0/0 must fail the gate, and removing it must clear it."""
-    clean = built(spark, sf_dir)[0]["silver_vehicle_positions"]
+    clean = built(spark, sf_dir, "silver_vehicle_positions")[0]["silver_vehicle_positions"]
     newest = clean.agg(F.max("report_ts").alias("report_ts")).select(
         F.lit("CTA").alias("agency"), F.lit("bus").alias("mode"), F.lit("BAD").alias("vehicle_id"),
         F.lit("99").alias("route_id"), F.lit("NOWHERE").alias("headsign"), F.lit(0.0).alias("lat"),

@@ -109,7 +109,7 @@ WHERE report_ts + INTERVAL {minutes} MINUTE >= (SELECT max(report_ts) FROM x_fac
 
 
 def live_fleet(spark, sf_dir, minutes=serving.LIVE_MINUTES):
-    tables, _, _ = built(spark, sf_dir)
+    tables, _, _ = built(spark, sf_dir, "fact_vehicle_position")
     return serving.recent_fleet(tables["fact_vehicle_position"], minutes)
 
 
@@ -121,7 +121,7 @@ _FLEET = "agency, mode, route_id, route_name, lat, lon, heading, is_delayed, rep
 
 @query("srv_08_fleet_latest", compose(pick("x_fact_position", "mode, vehicle_id", "report_ts DESC", _FLEET)))
 def newest_positions(spark, sf_dir):
-    tables, _, _ = built(spark, sf_dir)
+    tables, _, _ = built(spark, sf_dir, "fact_vehicle_position")
     return serving.fleet_latest(tables["fact_vehicle_position"])
 
 

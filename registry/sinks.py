@@ -23,6 +23,11 @@ _EXPORTED = {
     "fleet_latest": "(SELECT DISTINCT mode, vehicle_id FROM x_fact_position)",
 }
 
+_READ = [
+    "mart_pipeline_freshness", "mart_otp_by_route", "mart_otp_by_mode_hour", "mart_congestion_hotspots", "mart_congestion_by_hour",
+    "mart_delay_vs_weather", "mart_delay_vs_congestion", "fact_vehicle_position",
+]
+
 
 def _counts(names) -> str:
     return compose("\nUNION ALL\n".join(
@@ -39,7 +44,7 @@ def _differing(written, meant):
 
 @query("snk_01_parquet_export", _counts(_EXPORTED))
 def exports(spark, sf_dir):
-    tables, _, _ = built(spark, sf_dir)
+    tables, _, _ = built(spark, sf_dir, *_READ)
     store = TableStore(spark, fresh_folder(spark, "exports"))
     rows = sinks.export_marts(tables, store)
     checked = [
@@ -55,7 +60,7 @@ _COPIED = {"mart_otp_by_route": "x_otp_route", "mart_segment_speed_profile": "x_
 @query("snk_02_snapshot_export", _counts(_COPIED))
 def snapshot(spark, sf_dir):
     """Marts saved as catalog tables, copied into a second database, counted there."""
-    tables, _, _ = built(spark, sf_dir)
+    tables, _, _ = built(spark, sf_dir, *_COPIED)
     folder = fresh_folder(spark, "catalog")
     live, copy = (f"{kind}_{folder[-12:]}" for kind in ("live", "copy"))
     for database in (live, copy):

@@ -73,3 +73,20 @@ def test_open_data_pages_are_compressed_and_bounded(spark, tmp_path):
     assert files and all(p.name.endswith(".json.gz") for p in files)
     assert sum(p.stat().st_size for p in files) < 900 * 100
     assert spark.read.json(folder).count() == 900
+
+
+def test_only_the_tables_asked_for_are_written(spark, tmp_path):
+    """A check of one table builds what that needs; a later one adds what is missing and writes nothing again."""
+    from registry import inputs
+
+    events = spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 08:00:00' AS ts", "id % 8 AS user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'NATION_1' AS n_name, 0 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    _, rows, store = inputs.built(spark, str(tmp_path), "silver_vehicle_positions")
+    assert set(rows) == {"silver_train_positions", "silver_vehicle_positions"}
+    before = {p for p in Path(store.root.removeprefix("file:")).rglob("*.parquet")}
+    tables, rows, _ = inputs.built(spark, str(tmp_path), "fact_vehicle_position")
+    assert set(rows) == {"silver_train_positions", "silver_vehicle_positions", "silver_routes", "fact_vehicle_position"}
+    assert before <= {p for p in Path(store.root.removeprefix("file:")).rglob("*.parquet")}
+    assert tables["fact_vehicle_position"].count() == rows["fact_vehicle_position"] > 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -115,21 +115,34 @@ def _make(spark: SparkSession, model: Model, table: Callable[[str], DataFrame])
     return model.make(*map(table, model.needs)) if model.needs else model.make(spark)
 
 
+def needed(names: Iterable[str], given: Mapping[str, DataFrame]) -> set[str]:
+    """These models and all that they are made from, short of given tables."""
+    out, left = set(), list(names)
+    while left:
+        name = left.pop()
+        if name in MODELS and name not in out:
+            out.add(name)
+            left += () if name in given else MODELS[name].needs
+    return out
+
+
 def build(
     spark: SparkSession,
     given: Mapping[str, DataFrame],
     store: TableStore,
     jobs: int = 8,
     gate: Callable[[str, DataFrame], None] | None = None,
+    only: Iterable[str] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write every stored model that is not given; readers get the written one.
 
     Up to `jobs` models are written at a time, so small ones fill the cores a large
     one leaves idle. A `gate` sees every written table and may raise: models that
     need the table are then not written, independent ones still are, and the error
-    is raised at the end. Gives all tables by name and the row counts of the
-    written ones.
+    is raised at the end. With `only`, just these tables and those they need are
+    made. Gives all made tables by name and the row counts of the written ones.
     """
+    wanted = set(MODELS if only is None else needed(only, given))
     pending: dict[str, Future] = {}
 
     def table(name: str) -> DataFrame:
@@ -149,8 +162,8 @@ def build(
     # Models only wait for ones submitted before them, which run or have run by then.
     with ThreadPoolExecutor(jobs) as pool:
         for name in MODELS:
-            if name not in given:
+            if name in wanted and name not in given:
                 pending[name] = pool.submit(write, name)
     done = {name: future.result() for name, future in pending.items()}
-    tables = {name: done[name][0] if name in done else given[name] for name in MODELS}
+    tables = {name: done[name][0] if name in done else given[name] for name in MODELS if name in wanted}
     return tables, {name: count for name, (_, count) in done.items() if count is not None}
