@@ -263,6 +263,22 @@ def test_blocks_of_a_hot_key_meet_like_one_group():
     assert sorted(split) == sorted(whole)
 
 
+def test_copies_of_a_repeated_line_with_other_documents_of_it(docs, prose):
+    """Meetings beside the diagonal widen both places, and don't move the earlier one."""
+    line = prose(12, 5)
+    rows = [(1, " ".join([line] * 5)), (2, " ".join([line] * 5)), (3, prose(40, 6) + " " + " ".join([line] * 9))]
+    found = {(r["doc_id"], r["first_doc"], r["start_word"], r["end_word"]) for r in compact.repeats(docs(*rows)).collect()}
+    assert (2, 1, 0, 60) in found
+    table = docs().sparkSession.createDataFrame([(2, 1, -12, 0, 43, 0), (2, 1, 0, 0, 55, 1)], ", ".join(f"{c} long" for c in compact._MEETING))
+    assert [tuple(r) for r in compact._candidates(table).collect()] == [(2, 1, 0, 55, 0, 55)]
+
+
+def test_copies_need_no_second_function(docs):
+    """What equal windows say may come from one function: under another, other documents stand for them."""
+    table = docs().sparkSession.createDataFrame([(2, 1, 0, 0, 55, 1 | compact.SURE), (4, 3, 0, 0, 55, 1)], ", ".join(f"{c} long" for c in compact._MEETING))
+    assert [(r["doc_id"], r["first_doc"]) for r in compact._candidates(table).collect()] == [(2, 1)]
+
+
 def test_many_diagonals_between_two_meetings(docs, prose):
     """Two meetings of one passage with twelve overlapping ones of other diagonals between them."""
     rows = [(2, 1, 0, 10, 90, 0), *[(2, 1, 1000 * (i + 1), 11 + i, 90, 0) for i in range(12)], (2, 1, 0, 40, 90, 1)]
