@@ -224,3 +224,12 @@ def test_collocations_of_odd_rows(odd, spark):
     assert told(collocations.collocations(frame)) == phrases(rows)
     assert collocations.collocations(frame.limit(0)).count() == 0
     assert collocations.collocations(spark.createDataFrame([(None, None)], TEXTS)).count() == 0
+
+
+def test_phrases_are_added_up_after_the_shuffle_only(spark):
+    """A task counts a phrase itself; an aggregate before the shuffle held all its phrases a second time."""
+    rows = spark.createDataFrame([("en", "a b c a b"), ("en", "a b"), ("de", "a b")], "lang string, text string")
+    found = collocations._counted(rows, 1)
+    before_shuffle = found._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "Aggregate" not in before_shuffle
+    assert {(r["lang"], r["w1"], r["n"]) for r in found.collect()} == {("en", "a", 3), ("en", "b", 3), ("en", "c", 1), ("de", "a", 1), ("de", "b", 1)}

@@ -116,6 +116,7 @@ class _Stream:
     def counts(self) -> Iterator[pa.RecordBatch]:
         """Counts of what is held; the last words stay, so that no phrase is torn and none counted twice."""
         ids, words = np.concatenate(self.held), list(self.number)
+        self.held = []
         n = len(ids) - self.order + 1
         at = [ids[i : n + i] for i in range(self.order)] if n > 0 else [ids[:0]] * self.order
         good = np.ones(len(at[0]), bool)
@@ -163,7 +164,8 @@ def _counted(rows: DataFrame, order: int, bitmap: np.ndarray | None = None) -> D
 
     names = _names(order)
     parts = by_batch(rows, work, f"lang string, {', '.join(f'{n} string' for n in names)}, n long")
-    return parts.groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    # A task gives a phrase once for each time it counts, so there is nothing to add up before the shuffle.
+    return parts.repartition("lang", *names).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def _filled(rows: DataFrame, backwards: bool, one: str, two: str, longer: str) -> DataFrame:
