@@ -103,6 +103,18 @@ def test_normalisation_keeps_offsets(rule, collapse):
         assert [len(text.encode()[: source[i]].decode()) for i in at] == list(offsets)
 
 
+def test_ids_alone_are_the_same_and_keep_no_texts(codec):
+    """The stage that gives ids only keeps packed ids of words, in a smaller table."""
+    texts = ["", "a", " two  spaces ", "tab\tand\nline", "▁marks▁ ▁▁", "naïve 漢字 🙂", *(f"w{i} v{i}" for i in range(200))]
+    plain = [codec.normalizer.apply(t)[0] for t in texts]
+    before = len(codec.words)
+    found = codec.ids(plain)
+    assert len(codec.words) == before
+    assert all(type(v) is bytes for v in codec.word_ids.values())
+    assert codec.word_ids.entries < codec.words.entries
+    assert found == [b"".join(c.ids for c in codec.chunks(p)) for p in plain]
+
+
 def test_pieces_of_odd_rows(odd, docs):
     clash = odd.withColumn("ids", F.lit("x"))
     for row in pieces.encode(clash, PIECES).collect():

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
+from functools import cached_property
 from pathlib import Path
 from typing import NamedTuple
 
@@ -19,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from wayside.llm.batches import by_batch, texts
+from wayside.llm.batches import by_batch, passes, texts
 from wayside.llm.prefix_tokens import Bounded
 
 SPACE = "▁"
 CACHE_ENTRIES = 300_000
+#: Words of which a worker that gives ids only keeps the ids.
+ID_ENTRIES = 100_000
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
 
@@ -244,6 +248,35 @@ class PieceCodec:
         for word, chunk in zip(new, self._chunks([SPACE + w for w in new])):
             self.words.put(word, chunk)
 
+    @cached_property
+    def word_ids(self) -> Bounded:
+        """Packed ids of words, without their sizes and texts."""
+        return Bounded(lambda word: self._packed([SPACE + word])[0], ID_ENTRIES)
+
+    @cached_property
+    def run_ids(self) -> Bounded:
+        return Bounded(lambda chunk: self._packed([chunk])[0], ID_ENTRIES // 10)
+
+    def _packed(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(ids, np.int32).tobytes() for ids in self.model.encode(chunks, num_threads=1)]
+
+    def ids(self, plain: list[str]) -> list[bytes]:
+        """Packed ids of several normalised texts, whose new words are encoded in one call."""
+        if not self.apart:
+            return self._packed(plain)
+        new = sorted({w for p in plain for w in p.split(SPACE) if w and not self.word_ids.known(w)})
+        for at in range(0, len(new), ID_ENTRIES):
+            for word, ids in zip(new[at : at + ID_ENTRIES], self._packed([SPACE + w for w in new[at : at + ID_ENTRIES]])):
+                self.word_ids.put(word, ids)
+        return [b"".join(self._ids_of(p)) for p in plain]
+
+    def _ids_of(self, plain: str) -> Iterable[bytes]:
+        if not plain:
+            return ()
+        if plain[0] == SPACE and SPACE * 2 not in plain and len(plain) > 1 and plain[-1] != SPACE:
+            return map(self.word_ids.__getitem__, plain[1:].split(SPACE))
+        return map(self.run_ids.__getitem__, _RUNS.findall(plain))
+
     def spans(self, chunks: list[Chunk], source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte and end in the original text of every piece."""
         ends = np.cumsum(np.frombuffer(b"".join([c.sizes for c in chunks]), np.int32))
@@ -343,14 +376,15 @@ def with_pieces(df: DataFrame, model: str | Path, text_col: str = "text") -> Dat
         codec = PieceCodec(held.value)
         for batch in batches:
             # Passed on in small parts, so that the ids of a large batch are never held together.
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at, _, offsets in passes(batch.column(place).fill_null("")):
+                part = batch.slice(at, len(offsets) - 1)
                 plain = [codec.normalizer.apply(t)[0] for t in part.column(place).fill_null("").to_pylist()]
-                codec.learn(plain)
-                ids = [np.frombuffer(b"".join([c.ids for c in codec.chunks(p)]), np.int32) for p in plain]
+                ids = codec.ids(plain)
+                count = np.array([len(x) // 4 for x in ids], np.int64)
+                ends = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+                whole = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
-                    [*batch.schema.names, "n_tokens", "ids"],
+                    [*part.columns, pa.array(count), pa.ListArray.from_arrays(ends, whole)], [*batch.schema.names, "n_tokens", "ids"]
                 )
 
     return by_batch(kept, work, schema)
