@@ -267,3 +267,32 @@ def test_state_of_silent_vehicles_goes(spark, folders, rows):
         query.stop()
     assert store.read("fleet_log").count() == 2
     assert rows(states.fleet(store), "report_ts") == [(T0 + dt.timedelta(minutes=10),)]
+
+
+def test_runs_over_what_is_there_keep_first_rows_without_python(spark, folders):
+    """A Python call for each key made a run over history take hours; state that expires still needs it."""
+    root, _, _ = folders
+    _land(spark, root, _report("1", 0))
+    stream = positions.positions_stream(spark, root)
+    for changes in (states.fleet_changes, states.earliest_changes):
+        plans = [changes(stream, lasts)._jdf.queryExecution().analyzed().toString() for lasts in (None, 7)]
+        assert ["TransformWithState" in p for p in plans] == [False, True]
+
+
+def test_each_correction_takes_back_the_one_before(spark, folders, rows):
+    """Of four reports under one key, each ingested before the last, also without a time; a repeated one changes nothing."""
+    _, store, _ = folders
+    steps = [("66", True, 40), ("99", False, 30), ("66", True, 20), ("66", False, 10), ("66", False, 10), ("99", True, 30)]
+    reports = [_report(v, m, route=r, late=late, seen=seen) for r, late, seen in steps for v, m in (("1", 5), (None, None), ("2", 5))]
+    routes = spark.createDataFrame([("66", "Chicago")], "route_id string, route_long_name string")
+    root = folders[0]
+    for i in range(0, len(reports), 3):
+        _land(spark, root, *reports[i : i + 3])
+        _drain(spark, folders, states.hourly_bitmaps(store), states.earliest_changes, mode="update")
+    log = store.read("reports_log").where("vehicle_id = '1'").orderBy("batch")
+    assert [tuple(r) for r in log.select("corrects", "route_id", "old_route_id", "old_is_delayed").collect()] == [
+        (False, "66", None, None), (True, "99", "66", True), (True, "66", "99", False), (True, "66", "66", True)]
+    assert store.read("reports_log").count() == 12
+    staged = staging.vehicle_positions(earliest_reports(_silver(spark, reports)))
+    expected = intermediate.delay_by_route_hour(intermediate.vehicle_hours(staged), routes)
+    assert rows(states.hourly(store, routes), *expected.columns) == rows(expected)

@@ -26,9 +26,11 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 LASTS = 7
 
 REPORT = ["mode", "vehicle_id", "report_ts"]
+#: What a correction takes back.
+TOLD = ("agency", "route_id", "is_delayed")
 
 
-def _processor(schema: StructType, by: Sequence[str], descending: Sequence[str], told: Sequence[str], lasts: int | None) -> StatefulProcessor:
+def _processor(schema: StructType, by: Sequence[str], descending: Sequence[str], told: Sequence[str], lasts: int) -> StatefulProcessor:
     """Keeps the first row of each key in the order of `keep_first`, and emits it when it changes, with parts of the one before.
 
     The class is made here so that it travels with the query: the driver's runner of stateful
@@ -61,17 +63,42 @@ def _processor(schema: StructType, by: Sequence[str], descending: Sequence[str],
     return First()
 
 
-def _firsts(reports: DataFrame, keys: list[str], by: tuple[str, ...], descending=(), told=(), lasts_days: float | None = None) -> DataFrame:
+def _rocks(reports: DataFrame) -> None:
     spark = reports.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != _ROCKS:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+
+
+def _expiring(reports: DataFrame, keys: list[str], by: tuple[str, ...], descending, told, lasts_days: float) -> DataFrame:
+    """First rows by a processor, which lets state go: a call for each key, so for feeds, not for history."""
+    _rocks(reports)
     out = StructType([*reports.schema.fields]).add("corrects", "boolean")
     for c in told:
         out = out.add(f"old_{c}", reports.schema[c].dataType)
-    # A query with expiring state never comes to an end, so a run over what is there keeps its state.
-    lasts = None if lasts_days is None else int(lasts_days * 86_400_000)
+    lasts = int(lasts_days * 86_400_000)
     processor = _processor(reports.schema, by, descending, told, lasts)
-    return reports.groupBy(*keys).transformWithState(processor, out, "Update", "None" if lasts is None else "ProcessingTime")
+    return reports.groupBy(*keys).transformWithState(processor, out, "Update", "ProcessingTime")
+
+
+def _firsts(reports: DataFrame, keys: list[str], by: tuple[str, ...], descending=()) -> DataFrame:
+    """First rows by an aggregate that keeps its state: the smallest row of each key, and the batches that had the key.
+
+    `current_timestamp` is one value within a batch, also when the batch is repeated.
+    """
+    _rocks(reports)
+    now = F.current_timestamp()
+    names = reports.columns
+    order = [*by, *(c for c in names if c not in by)]
+    place = []
+    for i, c in enumerate(order):
+        value = -F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', `{c}`)") if c in descending else F.col(c)
+        place += [F.col(c).isNull().alias(f"n{i}"), value.alias(f"v{i}")]
+    best = F.struct(*place, F.col("_batch").alias("batch"), F.struct(*names).alias("row"))
+    kept = reports.withColumn("_batch", now).groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
+        F.min(best).alias("best"), F.min("_batch").alias("first"), F.max("_batch").alias("last")
+    )
+    corrects = (F.col("first") != now) | (F.col("last") != now)
+    return kept.where(F.col("best.batch") == now).select("best.row.*", corrects.alias("corrects"))
 
 
 def fleet_changes(reports: DataFrame, lasts_days: float | None = None) -> DataFrame:
@@ -79,16 +106,21 @@ def fleet_changes(reports: DataFrame, lasts_days: float | None = None) -> DataFr
 
     With `lasts_days`, for queries that run at a cadence, a vehicle without news loses its row.
     """
-    return _firsts(reports, ["mode", "vehicle_id"], ("report_ts", "_ingested_at"), ("report_ts",), (), lasts_days).drop("corrects")
+    how = (["mode", "vehicle_id"], ("report_ts", "_ingested_at"), ("report_ts",))
+    changes = _firsts(reports, *how) if lasts_days is None else _expiring(reports, *how, (), lasts_days)
+    return changes.drop("corrects")
 
 
 def earliest_changes(reports: DataFrame, lasts_days: float | None = None) -> DataFrame:
     """Stream of the earliest ingested report per vehicle and report time, and of later corrections.
 
     A report that arrives after another of the same key, but was ingested before it, is a
-    correction: `corrects` is true, old_agency, old_route_id and old_is_delayed are what it replaces.
+    correction: `corrects` is true. With `lasts_days`, old_agency, old_route_id and
+    old_is_delayed are what it replaces; else `hourly_bitmaps` finds that in the log.
     """
-    return _firsts(reports, REPORT, ("_ingested_at",), (), ("agency", "route_id", "is_delayed"), lasts_days)
+    if lasts_days is None:
+        return _firsts(reports, REPORT, ("_ingested_at",))
+    return _expiring(reports, REPORT, ("_ingested_at",), (), TOLD, lasts_days)
 
 
 def _run(batch: DataFrame) -> str:
@@ -176,18 +208,43 @@ def _numbered(store: TableStore, batch: DataFrame, batch_id: int) -> DataFrame:
     return store.read("vehicles", ddl).select("mode", "vehicle_id", "number")
 
 
+def _told(store: TableStore, batch: DataFrame, batch_id: int) -> DataFrame:
+    """The batch with what its corrections replace: the earliest report of their keys in the query's batches before.
+
+    Only the log's folders of days that have a correction are read, none without one.
+    """
+    if all(f"old_{c}" in batch.columns for c in TOLD):
+        return batch
+    days = [r[0] for r in batch.where("corrects").select("report_date").distinct().collect()]
+    if not days or not store.exists("reports_log"):
+        return batch.withColumns({f"old_{c}": F.lit(None).cast(batch.schema[c].dataType) for c in TOLD})
+    log = store.read("reports_log")
+    on_days = F.col("report_date").isin([d for d in days if d is not None])
+    log = log.where(on_days | F.col("report_date").isNull() if None in days else on_days)
+    log = log.where((F.col("run") == _run(batch)) & (F.col("batch") < batch_id))
+    columns = [c for c in batch.columns if c not in ("corrects", "report_date", "report_hour")]
+    before = keep_first(log.select(*columns), REPORT, by=["_ingested_at"])
+    before = before.select(*(F.col(c).alias(f"_{c}") for c in REPORT), *(F.col(c).alias(f"old_{c}") for c in TOLD))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in REPORT]
+    return batch.join(before, [F.col("corrects"), *same], "left").drop(*(f"_{c}" for c in REPORT))
+
+
 def hourly_bitmaps(store: TableStore) -> Batch:
     """Keep hourly reports, delays and exact vehicles by merging: takes the batches of `earliest_changes`.
 
     A batch adds a row for each route and hour it touches: what its reports add, and a bitmap of
     their vehicles over a dictionary. A late report is one more row and reads no old report.
-    A correction takes back what it replaces; where it moves a report to another route, the
+    A correction takes back what it replaces, found in the log of its day; where it moves a report to another route, the
     hour it leaves is marked, and only marked hours are counted again from the log.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumns({"report_date": F.to_date("report_ts"), "report_hour": F.hour("report_ts")}).persist()
+        given = batch.withColumns({"report_date": F.to_date("report_ts"), "report_hour": F.hour("report_ts")}).persist()
+        batch = given
         try:
+            batch = _told(store, given, batch_id)
+            if batch is not given:
+                batch = batch.persist()
             log_to(store, "reports_log", "report_date")(batch, batch_id)
             numbered = batch.join(_numbered(store, batch, batch_id), ["mode", "vehicle_id"], "left")
             moved = F.col("corrects") & ~F.col("route_id").eqNullSafe(F.col("old_route_id"))
@@ -209,6 +266,7 @@ def hourly_bitmaps(store: TableStore) -> Batch:
             log_to(store, "hour_parts", "report_date")(parts, batch_id)
         finally:
             batch.unpersist()
+            given.unpersist()
 
     return handle
 
