@@ -296,3 +296,20 @@ def test_each_correction_takes_back_the_one_before(spark, folders, rows):
     staged = staging.vehicle_positions(earliest_reports(_silver(spark, reports)))
     expected = intermediate.delay_by_route_hour(intermediate.vehicle_hours(staged), routes)
     assert rows(states.hourly(store, routes), *expected.columns) == rows(expected)
+
+
+def test_new_vehicles_are_numbered_by_few_tasks(spark, folders):
+    """A cluster's shuffles start with many reducers; a batch's few vehicles are not written by all of them."""
+    _, store, _ = folders
+    store.spark = spark
+    key, tracker = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", spark.sparkContext.statusTracker()
+    told = {"corrects": F.lit(False), **{f"old_{c}": F.lit(None).cast(k) for c, k in (("agency", "string"), ("route_id", "string"), ("is_delayed", "boolean"))}}
+    spark.conf.set(key, "300")
+    spark.sparkContext.setJobGroup("numbering", "a batch of bitmaps")
+    try:
+        states.hourly_bitmaps(store)(_silver(spark, [_report("1", 0), _report("2", 5)]).withColumns(told), 0)
+    finally:
+        spark.conf.unset(key)
+        spark.sparkContext.setJobGroup("", "")
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("numbering") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 300

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from wayside.functions.picking import keep_first
 from wayside.functions.ranking import global_rank
 from wayside.operators.intermediate import named_route_hours
-from wayside.storage import TableStore
+from wayside.storage import TableStore, settle
 from wayside.streaming.positions import Batch, newest_per_vehicle
 
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -198,7 +198,8 @@ def _numbered(store: TableStore, batch: DataFrame, batch_id: int) -> DataFrame:
     known = store.read("vehicles", ddl) if store.exists("vehicles") else spark.createDataFrame([], ddl)
     known = known.where((F.col("run") != _run(batch)) | (F.col("batch") != batch_id)).drop("run", "batch")
     seen = batch.where("vehicle_id is not null").select("mode", "vehicle_id").distinct()
-    fresh = seen.join(known, ["mode", "vehicle_id"], "left_anti").persist()
+    # Written, not cached: a cached plan keeps all the reducers its shuffles start with.
+    fresh = settle(seen.join(known, ["mode", "vehicle_id"], "left_anti"), "fresh-vehicles")
     if fresh.isEmpty():
         return known
     top = known.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
