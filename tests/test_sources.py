@@ -345,6 +345,22 @@ def test_a_hot_poll_is_read_by_many_tasks(spark, tmp_path, rows):
     assert rows(decoded.agg(F.count("vehicle_id"), F.countDistinct("vehicle_id"))) == [(3000, 3000)]
 
 
+def test_a_hot_poll_is_split_among_a_clusters_reducers(spark, tmp_path):
+    """Over 2,000 reducers sizes are reported as means, which hid the hot one."""
+    store = TableStore(spark, str(tmp_path))
+    small, many_keys = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k, None) for k in (small, many_keys)}
+    spark.conf.set(small, "20k")
+    spark.conf.set(many_keys, "3000")
+    try:
+        many = _many(spark, 4000)
+        gtfs_rt.land_feeds(store, "trains", gtfs_rt.encode(many, _polls(many)))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(list(tmp_path.glob("trains/dt=2024-01-31/path=trains_20240131T101500.pb/*.parquet"))) > 2
+
+
 def test_chunks_of_a_poll_go_to_many_files(spark, tmp_path, rows):
     """A hot poll is split, has one header row, and landing it again replaces it."""
     store = TableStore(spark, str(tmp_path))
