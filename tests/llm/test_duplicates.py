@@ -263,6 +263,46 @@ def test_blocks_of_a_hot_key_meet_like_one_group():
     assert sorted(split) == sorted(whole)
 
 
+def test_a_line_of_many_documents(docs, prose, monkeypatch):
+    """Documents that share a line alone don't meet; others do in all their windows, as if all had met."""
+    line = prose(16, 5)
+    rows = [(i, f"{prose(60, 1000 + i)} {line} {prose(60, 3000 + i)}") for i in range(240)]
+    for i in range(6):
+        copy = words(rows[i][1])[25:110]
+        rows.append((500 + i, " ".join([prose(20, 6000 + i), *copy[:8], "edited", *copy[9:], prose(20, 7000 + i)])))
+    assert {(500 + i, i) for i in range(6)} <= {(r["doc_id"], r["first_doc"]) for r in compact.repeats(docs(*rows)).collect()}
+    met = [tuple(r) for r in compact._meetings(docs(*rows)).collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc_id", "text"])
+    windows = pa.Table.from_batches(list(compact._windows(iter([batch])))).sort_by([(c, "ascending") for c in ("key", "content", "doc_id", "centre")])
+    monkeypatch.setattr(compact, "HOT", 10**6)
+    every = {m for found in compact._by_key(iter(windows.to_batches()), True) for m in zip(*(c.to_pylist() for c in found.columns))}
+    pairs = {m[:2] for m in met}
+    assert len(met) == len(set(met)) and set(met) == {m for m in every if m[:2] in pairs}
+    assert 10 * len(met) < len(every)
+
+
+def test_enough_in_common_against_all_pairs():
+    draw = random.Random(3)
+    line = [draw.randrange(1 << 16) for _ in range(30)]
+    sets = []
+    for i in range(150):
+        own = [draw.randrange(400 if i % 3 else 1 << 16) for _ in range(60)]
+        own[10 : 10 + i % 25] = line[: i % 25]
+        sets.append(None if i % 40 == 7 else np.array(own if i % 9 else own[:2] * 30, np.uint16).tobytes())
+
+    def enough(a, b):
+        if a is None or b is None:
+            return True
+        a, b = (np.frombuffer(x, np.uint16).tolist() for x in (a, b))
+        return compact.PART_OF * len({*a} & {*b}) >= min(len({*x[k : k + 46]}) for x in (a, b) for k in range(len(x) - 45))
+
+    wanted = {(i, j) for i in range(150) for j in range(i + 1, 150) if enough(sets[i], sets[j])}
+    assert 1000 < len(wanted) < 8000
+    assert sorted((i, j) for x, y in compact._evident(sets) for i, j in zip(x.tolist(), y.tolist())) == sorted(wanted)
+    apart = sorted((i, j + 60) for x, y in compact._evident(sets[:60], sets[60:]) for i, j in zip(x.tolist(), y.tolist()))
+    assert apart == sorted((i, j) for i, j in wanted if i < 60 <= j)
+
+
 def test_copies_of_a_repeated_line_with_other_documents_of_it(docs, prose):
     """Meetings beside the diagonal widen both places, and don't move the earlier one."""
     line = prose(12, 5)
